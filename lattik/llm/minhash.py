@@ -4,9 +4,9 @@
    each minimum are packed into bit planes (b-bit MinHash, Li & Koenig, 2010).
 2. Texts with equal sets become one node. Nodes that share a band are candidates. The bit planes give the similarity,
    corrected for chance collisions, by XOR, OR and ``bit_count``; candidates far below the threshold are dropped.
-3. The rest is confirmed on full sets. In each bucket one hub is compared with the others first; only candidates that are
-   still in different components afterwards are compared with each other, so a bucket of near copies costs a star, not
-   all its pairs, and still no link between components is lost.
+3. The rest is confirmed on full sets. In each bucket one hub is compared with the others first. Members that are still in
+   different components afterwards are compared if they share one of their rarest shingles, as all pairs of the wanted
+   similarity do; so a bucket of near copies costs a star, not all its pairs, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -224,6 +224,23 @@ def floor_of(threshold: float) -> float:
     return threshold - SLACK * (p * (1 - p) / MINIMA) ** 0.5 / (1 - chance)
 
 
+def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a`` < ``b`` of different ``label`` that can reach ``percent``: from ``node``, ``label``, ``shingles``.
+
+    With all sets in one order of shingles, rarest first, two sets of that similarity have a common shingle among the
+    first |A| - ceil(percent/100 * |A|) + 1 of each, so near copies that are too far apart mostly meet nowhere.
+    """
+    spread = sets.select("node", "label", F.explode("shingles").alias("s"))
+    rarity = spread.groupBy("s").agg(F.count("*").alias("df"), (F.min("label") < F.max("label")).alias("mixed"))
+    ordered = spread.join(rarity, "s").groupBy("node", "label").agg(F.sort_array(F.collect_list(F.struct("df", "s", "mixed"))).alias("all"))
+    n = F.size("all")
+    first = ordered.select("node", "label", n.alias("n"), F.explode(F.slice("all", 1, n - F.expr(f"(size(all) * {percent} + 99) div 100").cast("int") + 1)).alias("t"))
+    met = first.where("t.mixed").select("node", "label", "n", F.col("t.s").alias("s"))
+    x, y = (met.select("s", F.col("node").alias(p), F.col("label").alias(f"l{p}"), F.col("n").alias(f"m{p}")) for p in "ab")
+    near = x.join(y, "s").where(f"la <> lb AND a < b AND least(ma, mb) * 100 >= greatest(ma, mb) * {percent}")
+    return near.select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_shingles``, ``component_id`` (smallest id reachable over links), ``kept`` (id = component_id).
 
@@ -277,9 +294,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         if turn < STAR_ROUNDS:
             pairs = named.join(open_, "bucket").where("label <> hub.label").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
         else:  # what is still apart within a bucket
-            rest = materialize(named.join(open_.select("bucket"), "bucket", "left_semi"))
-            x, y = (rest.select("bucket", F.col("node").alias(p), F.col("label").alias(f"l{p}")) for p in "ab")
-            pairs = x.join(y, "bucket").where("la <> lb AND a < b").select("a", "b")
+            apart = named.join(open_.select("bucket"), "bucket", "left_semi").select("node", "label").distinct()
+            pairs = prefix_pairs(sets.join(apart, "node"), percent)
         new = confirmed(pairs)
         links = materialize(new if found is None else new.union(found))
         if found is not None:
