@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lattik.llm import bpe, minhash
+from lattik.llm import bpe, langid, minhash, toxicity
 
 #: Where the vocabulary files of public tokenizers are; a parameter of the operators.
 TOKENIZERS = os.environ.get("LATTIK_TOKENIZERS", "/opt/tokenizers")
@@ -22,12 +23,29 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def fold(key: str, parts: int, held: int) -> Column:
+    """Whether crc32 of the id as text leaves the remainder ``held``; false for a null id."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % parts == held, F.lit(False))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~fold("doc_id", 3, 1)))
+    return toxicity.score(docs, model).select("doc_id", fold("doc_id", 3, 1).alias("held_out"), "score", "predicted")
+
+
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~fold("doc_id", 4, 2)))
+    return langid.identify(docs, model).select("doc_id", fold("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/{VOCABULARY}", keep_ids=False)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op5_bpe)}
+    return {f.__name__: f for f in (op1_minhash, op3_toxicity, op4_langid, op5_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
