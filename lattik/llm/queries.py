@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattik.llm import bpe, langid, minhash, toxicity
+from lattik.llm import bpe, decontam, langid, minhash, quality, sharding, toxicity, urlfilter
 
 #: Where the vocabulary files of public tokenizers are; a parameter of the operators.
 TOKENIZERS = os.environ.get("LATTIK_TOKENIZERS", "/opt/tokenizers")
@@ -44,8 +44,36 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/{VOCABULARY}", keep_ids=False)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+SHARDS = 24
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Verdict and rule (host/path), as the contract of op10 fixes them.
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
+#: Words of host names that mark a labelled URL as one to block; hosts without one are labelled as allowed.
+URL_SEEDS = ("adult", "bets", "casino", "spam")
+
+
+def op10_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    seeded = pages.select("url", urlfilter.host(F.col("url")).rlike("|".join(URL_SEEDS)).cast("int").alias("blocked"))
+    return urlfilter.judge(pages, urlfilter.train(seeded.where("url IS NOT NULL")), URL_RULES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op3_toxicity, op4_langid, op5_bpe)}
+    return {f.__name__: f for f in (op1_minhash, op3_toxicity, op4_langid, op5_bpe, op6_quality, op7_sharding, op8_decontam, op10_urlfilter)}
 
 
 def oracle_sql() -> dict[str, str]:
