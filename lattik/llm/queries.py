@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattik.llm import bpe, decontam, langid, minhash, quality, sharding, toxicity, urlfilter
+from lattik.llm import bpe, decontam, html_text, langid, minhash, quality, sharding, toxicity, urlfilter, warc
+from lattik.llm.common import materialize
 
 #: Where the vocabulary files of public tokenizers are; a parameter of the operators.
 TOKENIZERS = os.environ.get("LATTIK_TOKENIZERS", "/opt/tokenizers")
@@ -28,6 +29,10 @@ def fold(key: str, parts: int, held: int) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % parts == held, F.lit(False))
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.where(~fold("doc_id", 3, 1)))
@@ -60,6 +65,37 @@ def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: In the second replica, pages whose id key has this remainder have their first character overwritten.
+ROT = (97, 5)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    files = warc.files_for(pages)
+    rotten = F.when(warc.id_key("page_id") % ROT[0] == ROT[1], F.concat(F.lit("?"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
+    first, second = (materialize(warc.layout(x, files)) for x in (pages, pages.withColumn("html", rotten)))
+    return warc.audit(first, second).select(F.col("id").alias("page_id"), "file", "seq", "offset", "length", "sha256", "status")
+
+
+OP9_SQL = f"""
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS body, regexp_replace(coalesce(url, ''), '[\\r\\n]', '', 'g') AS u,
+           ('0x' || substr(md5(coalesce(page_id::VARCHAR, '')), 1, 15))::BIGINT AS k FROM pages),
+r AS (
+    SELECT page_id, k, md5(coalesce(page_id::VARCHAR, '') || chr(10) || u) AS n, u, body, chr(13) || chr(10) AS e,
+           (k % (SELECT greatest(1, (count(*) + {warc.FILE_RECORDS} - 1) // {warc.FILE_RECORDS}) FROM pages))::INTEGER AS file FROM p),
+w AS (
+    SELECT page_id, k, file, 'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Record-ID: <urn:uuid:' || substr(n, 1, 8) || '-' || substr(n, 9, 4)
+           || '-' || substr(n, 13, 4) || '-' || substr(n, 17, 4) || '-' || substr(n, 21, 12) || '>' || e || 'WARC-Date: {warc.DATE}' || e
+           || 'WARC-Target-URI: ' || u || e || 'Content-Type: text/html' || e || 'WARC-Payload-Digest: sha256:' || sha256(body) || e
+           || 'Content-Length: ' || strlen(body)::VARCHAR || e || e || body || e || e AS rec FROM r),
+s AS (SELECT page_id, k, file, strlen(rec)::BIGINT AS length, sha256(rec) AS sha256 FROM w)
+SELECT page_id, file, (row_number() OVER o - 1)::BIGINT AS seq, (sum(length) OVER o - length)::BIGINT AS "offset", length, sha256,
+       CASE WHEN k % {ROT[0]} = {ROT[1]} THEN 'corrupt' ELSE 'ok' END AS status
+FROM s WINDOW o AS (PARTITION BY file ORDER BY page_id NULLS FIRST, sha256 ROWS UNBOUNDED PRECEDING)
+"""
+
+
 #: Verdict and rule (host/path), as the contract of op10 fixes them.
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 #: Words of host names that mark a labelled URL as one to block; hosts without one are labelled as allowed.
@@ -73,8 +109,8 @@ def op10_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op3_toxicity, op4_langid, op5_bpe, op6_quality, op7_sharding, op8_decontam, op10_urlfilter)}
+    return {f.__name__: f for f in (op1_minhash, op2_html, op3_toxicity, op4_langid, op5_bpe, op6_quality, op7_sharding, op8_decontam, op9_warc, op10_urlfilter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_warc": OP9_SQL}
