@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import lattik.llm as _package
 
@@ -54,7 +55,14 @@ def semi_join_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(ids) if n <= BROADCAST_KEYS else ids, key, "left_semi")
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
+def anti_join_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``ids`` (null keys stay): by broadcast up to ``BROADCAST_KEYS`` keys, by shuffle beyond."""
+    known = materialize(ids.select(key).distinct())
+    n = known.count()
+    return df.join(F.broadcast(known) if n <= BROADCAST_KEYS else known, key, "left_anti").select(*df.columns)
+
+
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` whose per-batch function is made once for each task by ``make``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -122,6 +122,20 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     return model
 
 
+def _answers(model: Model) -> Callable[[str | None], tuple[str, float]]:
+    of, prior = model.scorer(), np.array(model.prior)
+
+    def answer(text: str | None) -> tuple[str, float]:
+        found = WORD.findall((text or "").lower())
+        if not found or not model.languages:
+            return UNKNOWN, 0.0
+        total = prior + np.sum([of(w) for w in found], axis=0)
+        best = int(np.argmax(total))
+        return model.languages[best], float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum())
+
+    return answer
+
+
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``lang_pred`` (a learned language, ``und`` for a text that is null or has no letter), ``score`` (0 to 1).
 
@@ -131,16 +145,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        fitted = shared.value
-        of, prior = fitted.scorer(), np.array(fitted.prior)
-
-        def answer(text: str | None) -> tuple[str, float]:
-            found = WORD.findall((text or "").lower())
-            if not found or not fitted.languages:
-                return UNKNOWN, 0.0
-            total = prior + np.sum([of(w) for w in found], axis=0)
-            best = int(np.argmax(total))
-            return fitted.languages[best], float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum())
+        answer = _answers(shared.value)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [answer(t) for t in batch.column(1).to_pylist()]
@@ -150,3 +155,19 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         return run
 
     return map_batches(docs.select(F.col(id_col), F.col(text_col)), make, f"`{id_col}` {dict(docs.dtypes)[id_col]}, lang_pred string, score double")
+
+
+def keep(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is known with a score of ``least`` or more."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        answer = _answers(shared.value)
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = [answer(t) for t in batch.column(at).to_pylist()]
+            return batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
+
+        return run
+
+    return map_batches(docs, make, docs.schema)

@@ -220,14 +220,33 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        fitted = shared.value
-        cell = fitted.windows()
+        of = _scores(shared.value)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            scores = [fitted.score(fitted.evidence(Counter(map(cell, set(words(t or "")))))) for t in batch.column(1).to_pylist()]
+            scores = [of(t) for t in batch.column(1).to_pylist()]
             predicted = pa.array([int(s >= THRESHOLD) for s in scores], pa.int32())
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), predicted], names=[id_col, "score", "predicted"])
 
         return run
 
     return map_batches(docs.select(F.col(id_col), F.col(text_col)), make, f"`{id_col}` {dict(docs.dtypes)[id_col]}, score double, predicted int")
+
+
+def _scores(model: Model) -> Callable[[str | None], float]:
+    cell = model.windows()
+    return lambda text: model.score(model.evidence(Counter(map(cell, set(words(text or ""))))))
+
+
+def keep(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that aren't predicted toxic."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        of = _scores(shared.value)
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return batch.filter(pa.array([of(t) < THRESHOLD for t in batch.column(at).to_pylist()], pa.bool_()))
+
+        return run
+
+    return map_batches(docs, make, docs.schema)
