@@ -4,9 +4,10 @@
    each minimum are packed into bit planes (b-bit MinHash, Li & Koenig, 2010).
 2. Texts with equal sets become one node. Nodes that share a band are candidates. The bit planes give the similarity,
    corrected for chance collisions, by XOR, OR and ``bit_count``; candidates far below the threshold are dropped.
-3. The rest is confirmed on full sets. In each bucket one hub is compared with the others first. Members that are still in
-   different components afterwards are compared if they share one of their rarest shingles, as all pairs of the wanted
-   similarity do; so a bucket of near copies costs a star, not all its pairs, and no link between components is lost.
+3. The rest is confirmed on full sets. In each bucket one hub (first the node that shares buckets with most others) is
+   compared with the others first. Members that are still in different components afterwards are compared if they share one
+   of their rarest shingles, as all pairs of the wanted similarity do; so a bucket of near copies costs a star, not all its
+   pairs, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -227,17 +228,18 @@ def floor_of(threshold: float) -> float:
 def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a`` < ``b`` of different ``label`` that can reach ``percent``: from ``node``, ``label``, ``shingles``.
 
-    With all sets in one order of shingles, rarest first, two sets of that similarity have a common shingle among the
-    first |A| - ceil(percent/100 * |A|) + 1 of each, so near copies that are too far apart mostly meet nowhere.
+    With all sets in one order of shingles, rarest first, the first common shingle of two such sets has enough places behind
+    it in either set for the overlap that they need, percent/(100 + percent) * (|A| + |B|). Near copies that are too far
+    apart mostly have no common shingle that early, as their own changes come first.
     """
     spread = sets.select("node", "label", F.explode("shingles").alias("s"))
     rarity = spread.groupBy("s").agg(F.count("*").alias("df"), (F.min("label") < F.max("label")).alias("mixed"))
     ordered = spread.join(rarity, "s").groupBy("node", "label").agg(F.sort_array(F.collect_list(F.struct("df", "s", "mixed"))).alias("all"))
     n = F.size("all")
-    first = ordered.select("node", "label", n.alias("n"), F.explode(F.slice("all", 1, n - F.expr(f"(size(all) * {percent} + 99) div 100").cast("int") + 1)).alias("t"))
-    met = first.where("t.mixed").select("node", "label", "n", F.col("t.s").alias("s"))
-    x, y = (met.select("s", F.col("node").alias(p), F.col("label").alias(f"l{p}"), F.col("n").alias(f"m{p}")) for p in "ab")
-    near = x.join(y, "s").where(f"la <> lb AND a < b AND least(ma, mb) * 100 >= greatest(ma, mb) * {percent}")
+    first = ordered.select("node", "label", n.alias("n"), F.posexplode(F.slice("all", 1, n - F.expr(f"(size(all) * {percent} + 99) div 100").cast("int") + 1)).alias("i", "t"))
+    met = first.where("t.mixed").select("node", "label", "n", "i", F.col("t.s").alias("s"))
+    x, y = (met.select("s", F.col("node").alias(p), F.col("label").alias(f"l{p}"), F.col("n").alias(f"m{p}"), F.col("i").alias(f"i{p}")) for p in "ab")
+    near = x.join(y, "s").where(f"la <> lb AND a < b AND least(ma, mb) * 100 >= greatest(ma, mb) * {percent} AND least(ma - ia, mb - ib) * {100 + percent} >= (ma + mb) * {percent}")
     return near.select("a", "b").distinct()
 
 
@@ -257,9 +259,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     )
     spread = nodes.select("node", F.explode("bands").alias("bucket")).repartition("bucket")
     shared = spread.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    buckets = materialize(spread.join(shared, "bucket").select("bucket", "node"))
-    involved = buckets.select("node").distinct()
-    facts = materialize(nodes.select("node", "first_id", "f1", "f2", "n", "planes").join(involved, "node", "left_semi"))
+    buckets = materialize(spread.join(shared, "bucket").select("bucket", "node", "members"))
+    involved = buckets.groupBy("node").agg(F.sum("members").alias("weight"))
+    facts = materialize(nodes.select("node", "first_id", "f1", "f2", "n", "planes").join(involved, "node"))
     texts = semi_join_ids(docs.withColumnRenamed(id_col, "id"), facts.select(F.col("first_id").alias("id")).distinct(), "id")
     sets = materialize(
         shingle_sets(texts, width, "id", text_col).join(facts.select("f1", "f2", F.col("first_id").alias("id"), "node"), ["f1", "f2", "id"])
@@ -281,11 +283,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     labels, found = None, None
     for turn in range(STAR_ROUNDS + 1):
         if labels is None:
-            named = buckets.withColumn("label", F.col("node"))
+            named = buckets.join(facts.select("node", "weight"), "node").select("bucket", "node", "weight", F.col("node").alias("label"))
         else:
-            named = buckets.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+            named = buckets.join(labels, "node", "left").select("bucket", "node", F.lit(0).alias("weight"), F.coalesce("label", "node").alias("label"))
         open_ = named.groupBy("bucket").agg(
-            F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(turn))).alias("hub")
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.max_by(F.struct("node", "label"), F.struct("weight", F.xxhash64("node", F.lit(turn)))).alias("hub")
         ).where("lo < hi").select("bucket", "hub")
         if found is not None:
             open_ = materialize(open_)
