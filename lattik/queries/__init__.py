@@ -29,4 +29,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from lattik.queries import named, reasoning, scalars  # noqa: F401
+    from lattik.queries import checks, evaluation, fusion, named, reasoning, scalars, streams  # noqa: F401

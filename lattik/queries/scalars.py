@@ -43,7 +43,7 @@ def scl17_iso_date(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.date_format(t.iso_date(made), "yyyy-MM-dd").alias("valid"))
 
 
-@query("""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(text, '\\b([A-Z]{3})\\b', 1), lambda x: x <> 'THE'))), ',') AS codes FROM documents""")
+@query(r"""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(text, '\b([A-Z]{3})\b', 1), lambda x: x <> 'THE'))), ',') AS codes FROM documents""")
 def scl18_codes(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.array_join(t.codes(F.col("text"), ("THE",)), ",").alias("codes"))
 
