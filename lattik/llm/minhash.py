@@ -262,9 +262,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     buckets = materialize(spread.join(shared, "bucket").select("bucket", "node", "members"))
     involved = buckets.groupBy("node").agg(F.sum("members").alias("weight"))
     facts = materialize(nodes.select("node", "first_id", "f1", "f2", "n", "planes").join(involved, "node"))
-    texts = semi_join_ids(docs.withColumnRenamed(id_col, "id"), facts.select(F.col("first_id").alias("id")).distinct(), "id")
+    whole = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = semi_join_ids(whole, facts.select(F.col("first_id").alias("id")).distinct(), "id")
     sets = materialize(
-        shingle_sets(texts, width, "id", text_col).join(facts.select("f1", "f2", F.col("first_id").alias("id"), "node"), ["f1", "f2", "id"])
+        shingle_sets(texts, width, "id", "text").join(facts.select("f1", "f2", F.col("first_id").alias("id"), "node"), ["f1", "f2", "id"])
         .select("node", "shingles").dropDuplicates(["node"])
     )
 
