@@ -103,7 +103,7 @@ def iso_date(text: Column) -> Column:
 
 def codes(text: Column, stop: tuple[str, ...] = ()) -> Column:
     """Three-letter upper-case codes, distinct and sorted, without the stop list."""
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"\b([A-Z]{3})\b"), F.lit(1)))
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?<![0-9A-Za-z_])([A-Z]{3})(?![0-9A-Za-z_])"), F.lit(1)))
     return F.array_sort(F.array_except(found, F.array(*map(F.lit, stop)).cast("array<string>")))
 
 

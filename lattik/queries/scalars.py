@@ -21,7 +21,7 @@ def scl06_url_and_tail(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select("c_custkey").join(pages, "c_custkey")
 
 
-YEARS = "list_filter(list_transform(regexp_split_to_array(coalesce(props, '') || ' ' || ts::VARCHAR, '[^0-9]+'), lambda x: CASE WHEN length(x) = 4 THEN x::INTEGER END), lambda y: y BETWEEN 1800 AND 2026)"
+YEARS = "list_filter(list_transform(regexp_split_to_array(coalesce(props, '') || ' ' || strftime(ts, '%Y-%m-%d %H:%M:%S'), '[^0-9]+'), lambda x: CASE WHEN length(x) = 4 THEN x::INTEGER END), lambda y: y BETWEEN 1800 AND 2026)"
 
 
 @query(f"SELECT event_id, list_min({YEARS}) AS first_year, len({YEARS})::INTEGER AS n_years FROM events")
