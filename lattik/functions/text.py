@@ -55,7 +55,7 @@ def earliest_year(text: Column) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, r"(?<=[.!?])\s+|\n+"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, r"(?<=[.!?])\s+|\n+"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def year_after(text: Column, keyword: str) -> Column:
