@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from lattik.llm.common import map_batches, materialize, semi_join_ids
 
 #: Labelled rows that the classifier is fitted on, at most (about; chosen by a hash of the id).
-SAMPLE = 8_000
+SAMPLE = 12_000
+#: Tenths of the sample that the dictionaries are built from; scores are calibrated on the others, which the dictionaries don't know.
+BUILD = 7
 #: Bytes of the dictionaries' contents.
 TOXIC_BYTES, ORDINARY_BYTES = 8_192, 110_000
 #: Lengths of character sequences whose presence tells toxic documents from ordinary ones.
@@ -136,8 +138,8 @@ def _content(found: list[str], most: int) -> bytes:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on at most about ``sample`` rows of ``labels`` (chosen by a hash of the id) and the texts of ``docs`` with their ids.
 
-    Rows with a null id or label are left out; equal texts count once. Without toxic or without ordinary texts the model
-    gives every text the same low score.
+    Rows with a null id or label are left out; equal texts count once. Without toxic or ordinary texts, or without words
+    that tell them apart, the model gives every text the same low score.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     total = known.count()
@@ -145,13 +147,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     share = slots if total <= sample else max(1, slots * sample // total)
     chosen = known.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(slots)) < share).groupBy("id").agg(F.max("label").alias("label"))
     texts = semi_join_ids(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), chosen.select("id"), "id")
-    rows = materialize(texts.join(F.broadcast(chosen), "id").where("text IS NOT NULL").withColumn("h", F.xxhash64("text")).dropDuplicates(["h"]).select("text", "label").repartition(12))
-    size = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    rows = materialize(texts.join(F.broadcast(chosen), "id").where("text IS NOT NULL").withColumn("h", F.xxhash64("text")).dropDuplicates(["h"]).select("text", "label", (F.pmod("h", F.lit(10)) < BUILD).alias("build")).repartition(12))
+    size = {r["label"]: r["n"] for r in rows.where("build").groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_ordinary = size.get(1, 0), size.get(0, 0)
     model = Model()
     if not n_toxic or not n_ordinary:
         return model
-    counts = materialize(_counts(rows))
+    counts = materialize(_counts(rows.where("build")))
     p, q = F.col("toxic") / n_toxic, (F.col("ordinary") + 0.5) / (n_ordinary + 1)
     odds = F.log(p / q)
     telling = counts.where(f"NOT word AND toxic >= {SEEN}").where((odds > ODDS) & (F.col("toxic") * odds > GAIN)).orderBy((F.col("toxic") * odds).desc(), "key").limit(MOST_KEYS)
@@ -160,6 +162,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     unseen = math.log(n_ordinary + 1) - math.log(0.5)
     telling_words = [(r["key"], r["toxic"]) for r in absent if r["toxic"] * (math.log(r["toxic"] / n_toxic) + unseen) > WORD_GAIN or grams(r["key"]) & marks]
     least = 2 if len(telling_words) > 300 else 1
+    if not any(n >= least for _, n in telling_words):
+        return model  # nothing tells the sample's toxic texts from its ordinary ones
     common = counts.where("word AND ordinary > 0").orderBy(F.desc("ordinary"), "key").limit(20_000).select("key").collect()
     model.toxic = _content([w for w, n in telling_words if n >= least], TOXIC_BYTES)
     model.ordinary = _content([r["key"] for r in common], ORDINARY_BYTES)
@@ -174,7 +178,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
         return run
 
     # one short list of cells for each row of the bounded sample
-    found = map_batches(rows, make, "cells array<int>, label int").collect()
+    found = map_batches(rows.where("NOT build").select("text", "label"), make, "cells array<int>, label int").collect()
+    if len({y for _, y in found}) < 2:
+        return model
     _calibrate(model, [({(c[i], c[i + 1]): c[i + 2] for i in range(0, len(c), 3)}, y) for c, y in found])
     return model
 
