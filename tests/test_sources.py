@@ -42,9 +42,9 @@ def test_readers(spark, tmp_path):
 @pytest.mark.parametrize(
     ("f", "text", "want"),
     [
-        (t.slug, "Đại học Bách khoa  Hà Nội!", "dai-hoc-bach-khoa-ha-noi"), (t.official_name, "Name (old) (1990)", "Name (old)"), (t.norm_url, "[example.org] x", "http://example.org"),
+        (t.slug, "Crème brûlée  Đặc sản!", "creme-brulee-dac-san"), (t.official_name, "Name (old) (1990)", "Name (old)"), (t.norm_url, "[example.org] x", "http://example.org"),
         (t.norm_url, "nothing", None), (t.earliest_year, "from 1998 to 12019, 1875", 1875), (t.parse_count, "about 12.500 students", 12500), (t.parse_count, "12 ha", None),
-        (t.email, "write to A.B@x.edu.vn now", "a.b@x.edu.vn"), (t.iso_date, "2023-02-30", None), (t.tidy_parentheses, "a ( , ) b (; c ,)", "a b (c)"),
+        (t.email, "write to A.B@x.example.org now", "a.b@x.example.org"), (t.iso_date, "2023-02-30", None), (t.tidy_parentheses, "a ( , ) b (; c ,)", "a b (c)"),
     ],
 )
 def test_scalars(spark, f, text, want):
