@@ -1,14 +1,15 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
 Numbers, units and names become typed placeholders that remember their value; windows of the remaining template are hashed
-and joined with the benchmark's. An item counts as found in a document if enough of its windows are there and its
-placeholders are consistent: one value of the item always stands for one value of the document, as in a question that was
-only re-parameterised.
+and joined with the benchmark's. Matches are judged by occurrence, so that a second version of an item or a template that
+repeats in itself doesn't spoil the first: an item counts as found in a document if in one occurrence enough of its windows are
+there and its placeholders are consistent: one value of the item always stands for one value of the document, as in a question
+that was only re-parameterised.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lattik.llm.common import materialize, semi_join_ids
@@ -55,13 +56,38 @@ def _windows(words: Column, width: int) -> Column:
     return F.when(F.size(words) < width, F.array().cast("array<bigint>")).otherwise(let(hashed, of))
 
 
+def _occurrences(pairs: DataFrame) -> DataFrame:
+    """The matched word pairs (``id``, ``row``, ``item``, ``p``, ``q``, ``a``, ``b``, ``starts``) once for each group ``g`` that they are judged in.
+
+    Groups are a diagonal p - q of a row, a chain (words in the item's order, of each word of the row the match in the longest run), the
+    matches that are equal word for word, and all matches of the document.
+    """
+    at = ["id", "row", "item"]
+    by_run = Window.partitionBy(*at, "d").orderBy("p")
+    runs = pairs.withColumn("d", F.col("p") - F.col("q")).withColumn("run", F.col("p") - F.row_number().over(by_run))
+    runs = runs.withColumn("long", F.count("*").over(Window.partitionBy(*at, "d", "run")))
+    best = F.row_number().over(Window.partitionBy(*at, "p").orderBy(F.desc("long"), "q")) == 1
+    runs = runs.withColumn("best", best)
+    back = F.coalesce(F.col("q") <= F.lag("q").over(Window.partitionBy(*at, "best").orderBy("p")), F.lit(False))
+    runs = runs.withColumn("chain", F.sum(back.cast("int")).over(Window.partitionBy(*at, "best").orderBy("p")))
+
+    def group(kind: str, *keys: str) -> Column:
+        filled = [F.col(k).cast("bigint") for k in keys] + [F.lit(0).cast("bigint")] * (2 - len(keys))
+        return F.struct(F.lit(kind).alias("kind"), filled[0].alias("x"), filled[1].alias("y"))
+
+    groups = [group("all"), group("diagonal", "row", "d"), F.when(F.col("best"), group("chain", "row", "chain")), F.when(F.col("exact"), group("exact"))]
+    return runs.select("id", "item", "q", "a", "b", "starts", F.explode(F.array_compact(F.array(*groups))).alias("g"))
+
+
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """``id_col``, ``item_col``, ``n_windows`` (of the item), ``n_matched``, ``n_slots``, ``n_consistent``: items found in documents.
 
-    Null and empty texts and items match nothing. Rows of equal id count as one document, rows of equal item as one item.
-    An empty table on either side gives no rows; other columns are not read.
+    The last three are those of the accepted group of matches (see ``_occurrences``) with most windows. Null and empty texts
+    and items match nothing, nor do null ids. Rows of equal id count as one document; of rows of equal item each text is looked
+    for, and the best found one is given. An empty table on either side gives no rows; other columns are not read.
     """
-    items = materialize(benchmark.select(F.col(item_col).alias("item"), tokens(F.col(item_text)).alias("iw")).where(F.size("iw") > 0).withColumn("width", F.least(F.size("iw"), F.lit(WIDTH))))
+    worded = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("own"), tokens(F.col(item_text)).alias("iw")).where(F.size("iw") > 0).distinct()
+    items = materialize(worded.select("own", "iw", F.xxhash64("own", F.array_join("iw", " ")).alias("item"), F.least(F.size("iw"), F.lit(WIDTH)).alias("width")))
     widths = [r["width"] for r in items.select("width").distinct().collect()]  # at most WIDTH rows
     if not widths:
         widths = [WIDTH]
@@ -82,20 +108,28 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
     hashes = windows.select("hash").distinct()
     hits = spread(texts, []).select("id", "hash").join(hint(hashes), "hash").distinct()
-    counted = hits.join(hint(windows), "hash").groupBy("id", "item").agg(F.countDistinct("q").alias("n_matched"))
-    likely = materialize(counted.join(hint(size), "item").where(f"100 * n_matched >= {SHARE} * n_windows"))
+    counted = hits.join(hint(windows), "hash").groupBy("id", "item").agg(F.countDistinct("q").alias("n_seen"))
+    likely = materialize(counted.join(hint(size), "item").where(f"100 * n_seen >= {SHARE} * n_windows"))
 
-    # the slots of what is left: pairs of an item's and a document's value
-    again = semi_join_ids(texts, likely.select("id").distinct(), "id")
+    # pairs of an item's and a document's word in the matched windows of what is left, each once
+    again = semi_join_ids(texts, likely.select("id").distinct(), "id").withColumn("dw", tokens(F.col("text")))
     found = None
     for width in widths:
-        at = again.withColumn("dw", tokens(F.col("text"))).select("id", "dw", F.posexplode(_windows(F.col("dw"), width)).alias("p", "hash"))
+        at = again.select("id", F.xxhash64("text").alias("row"), "dw", F.posexplode(_windows(F.col("dw"), width)).alias("p", "hash"))
         part = at.join(hint(windows), "hash").join(items.where(F.col("width") == width), "item").select(
-            "id", "item", F.explode(F.arrays_zip(F.slice("iw", F.col("q") + 1, width).alias("a"), F.slice("dw", F.col("p") + 1, width).alias("b"))).alias("z")
+            "id", "row", "item", "p", "q", F.slice("iw", F.col("q") + 1, width).alias("a"), F.slice("dw", F.col("p") + 1, width).alias("b")
         )
         found = part if found is None else found.unionByName(part)
-    slots = found.where(F.col("z.a").startswith(MARK)).groupBy("id", "item", F.col("z.a").alias("value")).agg((F.min("z.b") == F.max("z.b")).alias("one"))
-    slots = slots.groupBy("id", "item").agg(F.count("*").alias("n_slots"), F.count_if("one").alias("n_consistent"))
-    out = likely.join(slots, ["id", "item"], "left").fillna(0, ["n_slots", "n_consistent"])
-    out = out.where(f"100 * n_consistent >= {CONSISTENT} * n_slots")
-    return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_windows", "n_matched", "n_slots", "n_consistent")
+    found = found.join(likely.select("id", "item"), ["id", "item"], "left_semi")
+    found = found.select("id", "row", "item", "p", "q", (F.col("a") == F.col("b")).alias("exact"), F.posexplode(F.arrays_zip("a", "b")).alias("o", "z"))
+    pairs = found.groupBy("id", "row", "item", (F.col("p") + F.col("o")).alias("p"), (F.col("q") + F.col("o")).alias("q")).agg(
+        F.min("z.a").alias("a"), F.min("z.b").alias("b"), F.max(F.col("o") == 0).alias("starts"), F.max("exact").alias("exact")
+    )
+    words = _occurrences(pairs).groupBy("id", "item", "g", "q").agg(F.min("a").alias("a"), F.max("starts").alias("starts"), F.min("b").alias("low"), F.max("b").alias("high"))
+    values = words.groupBy("id", "item", "g", "a").agg(F.count_if("starts").alias("starts"), (F.min("low") == F.max("high")).alias("one"))
+    slot = F.col("a").startswith(MARK)
+    judged = values.groupBy("id", "item", "g").agg(F.sum("starts").alias("n_matched"), F.count_if(slot).alias("n_slots"), F.count_if(slot & F.col("one")).alias("n_consistent"))
+    judged = judged.join(hint(size), "item").where(f"100 * n_matched >= {SHARE} * n_windows AND 100 * n_consistent >= {CONSISTENT} * n_slots")
+    figures = F.struct("n_matched", "n_consistent", "n_slots", "n_windows")
+    out = judged.join(items.select("item", "own"), "item").groupBy("id", "own").agg(F.max(figures).alias("f"))
+    return out.select(F.col("id").alias(id_col), F.col("own").alias(item_col), "f.n_windows", "f.n_matched", "f.n_slots", "f.n_consistent")

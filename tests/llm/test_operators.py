@@ -196,6 +196,19 @@ def test_decontamination_verbatim_and_reparameterised(spark):
     assert decontam.find(docs_of(spark, texts), bench.limit(0)).collect() == [] == decontam.find(docs_of(spark, texts).limit(0), bench).collect()
 
 
+def test_decontamination_judges_each_occurrence(spark):
+    series = "Which number comes next in the series 3, 6, 9, 12, 15, 18, 21 that the teacher wrote on the board"
+    sold = "On Monday the farmer Anna sold 12 kg of apples to Peter for 30 dollars, and then Anna bought 5 kg of pears from Maria with 12 dollars left."
+    first = "On Monday the farmer Clara sold 17 kg of apples to John for 44 dollars, and then Clara bought 9 kg of pears from Susan with 17 dollars left."
+    second = "On Monday the farmer Emma sold 21 kg of apples to Paul for 50 dollars, and then Emma bought 8 kg of pears from Laura with 21 dollars left."
+    wider = [t.replace("and then", "and then very much later") for t in (first, second)]
+    mixed = "On Monday the farmer Clara sold 17 kg of apples to John for 44 dollars, and then Frank bought 9 kg of pears from Susan with 99 dollars left."
+    texts = [f"Intro. {series}. More.", f"Sheet. {sold} {first}", f"Sheet. {first} {second}", f"Sheet. {wider[0]} {wider[1]}", f"No. {mixed}", f"Same id. {first}", f"Same id. {second}", f"{mixed} {sold}"]
+    bench = spark.createDataFrame([(1, series), (2, sold), (3, sold), (3, "another text of the same item that is nowhere to be seen")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.find(docs_of(spark, texts, [0, 1, 2, 3, 4, 5, 5, 7]), bench).collect()}
+    assert got == {(0, 1)} | {(i, k) for i in (1, 2, 3, 5, 7) for k in (2, 3)}
+
+
 def test_decontamination_finds_the_planted_passages(spark):
     sf = "/root/testdata/sf0.01"
     import re
