@@ -2,9 +2,9 @@
 
 Numbers, units and names become typed placeholders that remember their value; windows of the remaining template are hashed
 and joined with the benchmark's. Matches are judged by occurrence, so that a second version of an item or a template that
-repeats in itself doesn't spoil the first: an item counts as found in a document if in one occurrence enough of its windows are
-there and its placeholders are consistent: one value of the item always stands for one value of the document, as in a question
-that was only re-parameterised.
+repeats in itself doesn't spoil the first: an item counts as found in a document if in one occurrence enough of its windows or
+words are there, or one long run of them, and its placeholders are consistent: one value of the item always stands for one
+value of the document, as in a question that was only re-parameterised.
 """
 
 from __future__ import annotations
@@ -16,8 +16,10 @@ from lattik.llm.common import materialize, semi_join_ids
 
 #: Words in a window; shorter items are one window.
 WIDTH = 8
-#: Percentage of an item's windows that a document must hold.
+#: Percentage of an item's windows that a document must hold; or of its words, if ``RUN`` of them are matched at least.
 SHARE = 40
+#: Matched words in one run that are enough by themselves, if ``WIDTH`` of them at least are the same (not only of one kind).
+RUN = 13
 #: Percentage of an item's slots that must be consistent.
 CONSISTENT = 90
 #: Window rows of the benchmark up to which they are broadcast; more are joined by shuffle.
@@ -30,6 +32,8 @@ UNITS = (
 MARK = "\x01"
 #: A name: a capitalised word that does not begin a sentence.
 _NAME = r"(?<=[\p{L}\p{N},;]) (\p{Lu}\p{Ll}+)(?!\p{L})"
+#: A capitalised word that begins a text.
+_FIRST = r"^[^\p{L}\p{N}]*(\p{Lu}\p{Ll}+)(?!\p{L})"
 _NUMBER = r"(\d+(?:[.,]\d+)*)(?:\s?(" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}]))?"
 _TOKEN = MARK + r"[a-z]+:[^ \x01]*|[\p{L}\p{N}]+"
 
@@ -45,6 +49,11 @@ def template(token: Column) -> Column:
     return F.when(token.startswith(MARK), F.substring_index(token, ":", 1)).otherwise(token)
 
 
+def _counts(token: Column) -> Column:
+    """Whether a token stands for a word; the unit slot of a number without unit doesn't."""
+    return ~token.endswith(":")
+
+
 def _windows(words: Column, width: int) -> Column:
     """Hashes of the windows of ``width`` words, in order; none for fewer words."""
     from lattik.llm.quality import let
@@ -59,8 +68,8 @@ def _windows(words: Column, width: int) -> Column:
 def _occurrences(pairs: DataFrame) -> DataFrame:
     """The matched word pairs (``id``, ``row``, ``item``, ``p``, ``q``, ``a``, ``b``, ``starts``) once for each group ``g`` that they are judged in.
 
-    Groups are a diagonal p - q of a row, a chain (words in the item's order, of each word of the row the match in the longest run), the
-    matches that are equal word for word, and all matches of the document.
+    Groups are a run and a diagonal p - q of a row, a chain (words in the item's order, of each word of the row the match in the longest
+    run), the matches that are equal word for word, and all matches of the document.
     """
     at = ["id", "row", "item"]
     by_run = Window.partitionBy(*at, "d").orderBy("p")
@@ -72,13 +81,18 @@ def _occurrences(pairs: DataFrame) -> DataFrame:
     runs = runs.withColumn("chain", F.sum(back.cast("int")).over(Window.partitionBy(*at, "best").orderBy("p")))
 
     def group(kind: str, *keys: str) -> Column:
-        filled = [F.col(k).cast("bigint") for k in keys] + [F.lit(0).cast("bigint")] * (2 - len(keys))
-        return F.struct(F.lit(kind).alias("kind"), filled[0].alias("x"), filled[1].alias("y"))
+        filled = [F.col(k).cast("bigint") for k in keys] + [F.lit(0).cast("bigint")] * (3 - len(keys))
+        return F.struct(F.lit(kind).alias("kind"), filled[0].alias("x"), filled[1].alias("y"), filled[2].alias("z"))
 
-    groups = [group("all"), group("diagonal", "row", "d"), F.when(F.col("best"), group("chain", "row", "chain")), F.when(F.col("exact"), group("exact"))]
+    groups = [group("all"), group("diagonal", "row", "d"), F.when(F.col("long") >= RUN, group("run", "row", "d", "run")), F.when(F.col("best"), group("chain", "row", "chain")), F.when(F.col("exact"), group("exact"))]
     return runs.select("id", "item", "q", "a", "b", "starts", F.explode(F.array_compact(F.array(*groups))).alias("g"))
 
 
+def _as_name(words: Column, width: int) -> Column:
+    """An item's first window as it reads behind other words, where its capitalised first word looks like a name."""
+    return F.concat(F.array(F.concat(F.lit(f"{MARK}name:"), F.get(words, 0))), F.slice(words, 2, width - 1))
+
+
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """``id_col``, ``item_col``, ``n_windows`` (of the item), ``n_matched``, ``n_slots``, ``n_consistent``: items found in documents.
 
@@ -86,19 +100,24 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     and items match nothing, nor do null ids. Rows of equal id count as one document; of rows of equal item each text is looked
     for, and the best found one is given. An empty table on either side gives no rows; other columns are not read.
     """
-    worded = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("own"), tokens(F.col(item_text)).alias("iw")).where(F.size("iw") > 0).distinct()
-    items = materialize(worded.select("own", "iw", F.xxhash64("own", F.array_join("iw", " ")).alias("item"), F.least(F.size("iw"), F.lit(WIDTH)).alias("width")))
+    plain = F.translate(F.coalesce(F.col(item_text), F.lit("")), MARK, "")
+    begins = F.lower(F.regexp_extract(plain, _FIRST, 1))
+    worded = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("own"), tokens(F.col(item_text)).alias("iw"), begins.alias("begins")).where(F.size("iw") > 0).distinct()
+    words = F.size(F.filter("iw", _counts)).alias("n_words")
+    items = materialize(worded.select("own", "iw", "begins", F.xxhash64("own", F.array_join("iw", " "), "begins").alias("item"), F.least(F.size("iw"), F.lit(WIDTH)).alias("width"), words))
     widths = [r["width"] for r in items.select("width").distinct().collect()]  # at most WIDTH rows
     if not widths:
         widths = [WIDTH]
     windows = None
     for width in widths:
-        part = items.where(F.col("width") == width).select("item", F.posexplode(_windows(F.col("iw"), width)).alias("q", "hash"))
-        windows = part if windows is None else windows.unionByName(part)
+        part = items.where(F.col("width") == width).select("item", F.lit(False).alias("named"), F.posexplode(_windows(F.col("iw"), width)).alias("q", "hash"))
+        first = items.where((F.col("width") == width) & (F.col("begins") != "")).withColumn("iw", _as_name(F.col("iw"), width))
+        first = first.select("item", F.lit(True).alias("named"), F.posexplode(_windows(F.col("iw"), width)).alias("q", "hash"))
+        windows = part.unionByName(first) if windows is None else windows.unionByName(part).unionByName(first)
     windows = materialize(windows.distinct())
     small = windows.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     hint = F.broadcast if small else lambda x: x
-    size = windows.groupBy("item").agg(F.countDistinct("q").alias("n_windows"))
+    size = items.select("item", "n_words", (F.size("iw") - F.col("width") + 1).alias("n_windows"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def spread(rows: DataFrame, keep: list[str]) -> DataFrame:
@@ -108,8 +127,8 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
     hashes = windows.select("hash").distinct()
     hits = spread(texts, []).select("id", "hash").join(hint(hashes), "hash").distinct()
-    counted = hits.join(hint(windows), "hash").groupBy("id", "item").agg(F.countDistinct("q").alias("n_seen"))
-    likely = materialize(counted.join(hint(size), "item").where(f"100 * n_seen >= {SHARE} * n_windows"))
+    counted = hits.join(hint(windows), "hash").groupBy("id", "item").agg(F.countDistinct("q").alias("n_seen"), (F.max("q") - F.min("q") + WIDTH).alias("span"))
+    likely = materialize(counted.join(hint(size), "item").where(f"100 * n_seen >= {SHARE} * n_windows OR span >= {RUN}"))
 
     # pairs of an item's and a document's word in the matched windows of what is left, each once
     again = semi_join_ids(texts, likely.select("id").distinct(), "id").withColumn("dw", tokens(F.col("text")))
@@ -117,19 +136,20 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     for width in widths:
         at = again.select("id", F.xxhash64("text").alias("row"), "dw", F.posexplode(_windows(F.col("dw"), width)).alias("p", "hash"))
         part = at.join(hint(windows), "hash").join(items.where(F.col("width") == width), "item").select(
-            "id", "row", "item", "p", "q", F.slice("iw", F.col("q") + 1, width).alias("a"), F.slice("dw", F.col("p") + 1, width).alias("b")
-        )
+            "id", "row", "item", "p", "q", "named", F.when(F.col("named"), _as_name(F.col("iw"), width)).otherwise(F.slice("iw", F.col("q") + 1, width)).alias("a"), F.slice("dw", F.col("p") + 1, width).alias("b")
+        ).where(~F.col("named") | (F.get("a", 0) == F.get("b", 0))).drop("named")
         found = part if found is None else found.unionByName(part)
     found = found.join(likely.select("id", "item"), ["id", "item"], "left_semi")
     found = found.select("id", "row", "item", "p", "q", (F.col("a") == F.col("b")).alias("exact"), F.posexplode(F.arrays_zip("a", "b")).alias("o", "z"))
     pairs = found.groupBy("id", "row", "item", (F.col("p") + F.col("o")).alias("p"), (F.col("q") + F.col("o")).alias("q")).agg(
         F.min("z.a").alias("a"), F.min("z.b").alias("b"), F.max(F.col("o") == 0).alias("starts"), F.max("exact").alias("exact")
     )
-    words = _occurrences(pairs).groupBy("id", "item", "g", "q").agg(F.min("a").alias("a"), F.max("starts").alias("starts"), F.min("b").alias("low"), F.max("b").alias("high"))
-    values = words.groupBy("id", "item", "g", "a").agg(F.count_if("starts").alias("starts"), (F.min("low") == F.max("high")).alias("one"))
+    words = _occurrences(pairs).groupBy("id", "item", "g", "q").agg(F.min("a").alias("a"), F.max("starts").alias("starts"), F.max((F.col("a") == F.col("b")) & _counts(F.col("a"))).alias("same"), F.min("b").alias("low"), F.max("b").alias("high"))
+    values = words.groupBy("id", "item", "g", "a").agg(F.count_if("starts").alias("starts"), F.count_if(_counts(F.col("a"))).alias("held"), F.count_if("same").alias("same"), (F.min("low") == F.max("high")).alias("one"))
     slot = F.col("a").startswith(MARK)
-    judged = values.groupBy("id", "item", "g").agg(F.sum("starts").alias("n_matched"), F.count_if(slot).alias("n_slots"), F.count_if(slot & F.col("one")).alias("n_consistent"))
-    judged = judged.join(hint(size), "item").where(f"100 * n_matched >= {SHARE} * n_windows AND 100 * n_consistent >= {CONSISTENT} * n_slots")
+    judged = values.groupBy("id", "item", "g").agg(F.sum("starts").alias("n_matched"), F.sum("held").alias("held"), F.sum("same").alias("same"), F.count_if(slot).alias("n_slots"), F.count_if(slot & F.col("one")).alias("n_consistent"))
+    enough = f"100 * n_matched >= {SHARE} * n_windows OR held >= {RUN} AND same >= {WIDTH} AND (g.kind = 'run' OR 100 * held >= {SHARE} * n_words)"
+    judged = judged.join(hint(size), "item").where(f"({enough}) AND 100 * n_consistent >= {CONSISTENT} * n_slots")
     figures = F.struct("n_matched", "n_consistent", "n_slots", "n_windows")
     out = judged.join(items.select("item", "own"), "item").groupBy("id", "own").agg(F.max(figures).alias("f"))
     return out.select(F.col("id").alias(id_col), F.col("own").alias(item_col), "f.n_windows", "f.n_matched", "f.n_slots", "f.n_consistent")

@@ -209,6 +209,21 @@ def test_decontamination_judges_each_occurrence(spark):
     assert got == {(0, 1)} | {(i, k) for i in (1, 2, 3, 5, 7) for k in (2, 3)}
 
 
+def test_decontamination_finds_parts_edits_and_short_items(spark):
+    long = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59)]
+    mid = long[:35]
+    edited = [f"changed{chr(97 + i // 9)}" if i % 9 == 0 else w for i, w in enumerate(mid)]
+    short = "What is the capital city of France?"
+    counts = "How much is the sum of 3, 6, 9, 12, 15, 18, 21, 24, 27, 30, 33, 36, 39, 42, 45, 48, 51, 54, 57, 60"
+    bench = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(mid)), (3, short), (4, counts)], "item_id long, text string")
+    texts = [
+        "before " + " ".join(long[40:53]) + " after", "before " + " ".join(long[40:52]) + " after", "before " + " ".join(mid[:17]) + " after", " ".join(edited),
+        f"Please answer {short}", f"First, {short}", short, "Please answer Who is the capital city of France?", "Scores: 7, 1, 5, 9, 2, 8, 4, 6",
+    ]
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.find(docs_of(spark, texts), bench).collect()}
+    assert got == {(0, 1), (2, 1), (2, 2), (3, 1), (3, 2), (4, 3), (5, 3), (6, 3)}
+
+
 def test_decontamination_finds_the_planted_passages(spark):
     sf = "/root/testdata/sf0.01"
     import re
