@@ -22,10 +22,12 @@ from lattik.llm.common import map_batches
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is text up to their end tag.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript iframe noembed noframes object svg math canvas audio video datalist select".split())
+HIDDEN = frozenset("head title script style template noscript iframe noembed noframes object svg math canvas audio video datalist select".split())
 #: Blocks with a blank line around them, and blocks that only start a line.
 PARAGRAPHS = frozenset("p blockquote pre h1 h2 h3 h4 h5 h6 ul ol dl table figure hr article section".split())
 BLOCKS = PARAGRAPHS | frozenset("address aside body center dd details dialog div dt fieldset figcaption footer form header hgroup html legend li main menu nav summary".split())
+#: Elements that an open head holds; other start tags end it.
+HEAD = frozenset("head title meta link script style base basefont bgsound noscript noframes template".split())
 #: Open elements that a start tag closes, up to the elements behind them.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "option": (("option",), ("select",)),
@@ -65,20 +67,27 @@ def parse(page: str) -> Node:
                 close(names, behind)
                 return
 
+    def add(text: str) -> None:
+        if stack[-1].name == "head" and text.strip():
+            stack.pop()
+        stack[-1].kids.append(text)
+
     at = 0
     while at < len(page):
         m = _TAG.search(page, at)
         if not m:
-            stack[-1].kids.append(html.unescape(page[at:]))
+            add(html.unescape(page[at:]))
             break
         if m.start() > at:
-            stack[-1].kids.append(html.unescape(page[at : m.start()]))
+            add(html.unescape(page[at : m.start()]))
         at = max(m.end(), m.start() + 1)
         if m[1]:
-            stack[-1].kids.append(m[1])
+            add(m[1])
         if not m[3]:
             continue
         name = m[3].lower()
+        if stack[-1].name == "head" and (name == "br" if m[2] else name not in HEAD):
+            stack.pop()
         if m[2]:
             if name == "br":
                 stack[-1].kids.append(Node("br"))

@@ -248,6 +248,14 @@ def test_html_layout(spark):
     assert ("deep" in got[5][2]) or ("deep" in got[4][2])
 
 
+def test_html_head_without_end_tag():
+    text = html_text.extract_text
+    assert text("<html><head><title>T</title><body><p>Hello") == "Hello"
+    assert text("<head><meta charset=utf-8><style>p{}</style><noscript><p>no</noscript><script>x</script><p>One<p>Two") == "One\n\nTwo"
+    assert text("<html><head>\n<title>T</title>\nbare text<title>U</title></head><p>end") == "bare text\n\nend"
+    assert text("<html><head><title>T</title></head><body>as before</body></html>") == "as before"
+
+
 def test_warc_round_trip_and_audit(spark, tmp_path):
     pages = spark.read.parquet(f"{SF}/pages.parquet").unionByName(spark.createDataFrame([(None, None, None), (1, "http://x/\r\n", "")], "page_id long, url string, html string"))
     first = warc.write(pages, f"file://{tmp_path}/w")
