@@ -1,6 +1,6 @@
 """BPE encoding and decoding by tree concatenation.
 
-A long text is halved until the leaves are short; leaves are encoded independently (as one batch, in parallel) and
+A long text is halved until the leaves are short; leaves are encoded independently (in parallel with more than one thread) and
 neighbours are joined by encoding a window around the join again. The window grows until both sides agree with it at
 places where agreement is proof:
 
