@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 import lattik.llm as _package
 
-# Functions that run on executors travel by value, so that workers need not have this package on their path.
+# Functions that run on executors travel by value, so that workers need not have this package on their path. What is broadcast
+# does not: broadcasts hold plain tuples, bytes and arrays only.
 cloudpickle.register_pickle_by_value(_package)
 
 #: Rows of a key-only side (16 bytes a row or less) up to which it is broadcast; larger sides are shuffled.
@@ -22,20 +23,34 @@ BROADCAST_KEYS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one only where it is unset (tests)."""
-    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if known:
-        return known.rstrip("/")
-    mine = getattr(shared_dir, "local", None)
-    if mine is None:
-        mine = shared_dir.local = "file://" + tempfile.mkdtemp(prefix="lattik-shared-")
-    return mine
+    """This application's folder in ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where the setting is missing, a local session (as in tests) gets a temporary folder; on a cluster that is an error, as
+    executors couldn't see it. The folder is deleted when the driver's JVM ends.
+    """
+    context = spark.sparkContext
+    known = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not known:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        known = "file://" + tempfile.gettempdir()
+    folder = f"{known.rstrip('/')}/lattik-{context.applicationId}"
+    if folder not in _FOLDERS:
+        where = context._jvm.org.apache.hadoop.fs.Path(folder)
+        files = where.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+        _FOLDERS.add(folder)
+    return folder
+
+
+_FOLDERS: set[str] = set()
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lattik-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -44,7 +59,7 @@ def drop_table(df: DataFrame) -> None:
     """Delete a table that ``materialize`` has written and that no plan reads any more."""
     jvm = df.sparkSession.sparkContext._jvm
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/lattik-" in path:
+        if "/lattik-" in path and "/table-" in path:
             where = jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 

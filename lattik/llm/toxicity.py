@@ -1,17 +1,23 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are fitted on a bounded labelled sample: one on ordinary text (its most frequent words), one on
-toxic text (words of toxic documents that are, or hold, a character sequence which ordinary documents lack), and joined to the
-former, so that both compressors know ordinary text equally well. A window is one word between fixed carriers that either
-dictionary ends with: the block is then always compressed, and the lengths differ by the window alone. The pair (bytes
-with toxic dictionary, bytes saved against the ordinary one) is the window's cell. The log odds that a document, and that a
-window, with a cell is toxic are calibrated on the sample; a text's evidence is its most toxic window's, the sum over its
-windows and that sum by the root of their number, and a logistic curve over the three gives the score.
+Two zstandard dictionaries are trained (``zstandard.train_dictionary``) on separate parts of a bounded labelled sample: one on
+windows of ordinary texts, one on those windows of toxic texts that hold a word which tells toxic texts from ordinary ones. A
+text is cut into overlapping windows of ``WIDTH`` words; each is compressed with the ordinary dictionary, and with the toxic
+one joined to it, so that both compressors know ordinary text equally well and the difference of the lengths is what the
+toxic dictionary explains. (With the toxic dictionary alone, common words make that difference noisy: the README has figures.)
+Windows stand between fixed carriers that both dictionaries end with, so a block is always compressed.
+
+How much likelier each difference is in toxic texts is calibrated on rows that the dictionaries don't know. A text's evidence
+is the sum over its windows, that sum by the root of their number, its most toxic window and the share of toxic windows; a
+logistic curve over them gives the score, shifted so that the threshold is the best one on the calibration rows.
+
+Words and windows are counted once for each different context, not by texts: a text with hundreds of near copies doesn't count more.
 """
 
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 from collections.abc import Callable
@@ -28,21 +34,18 @@ from lattik.llm.common import map_batches, materialize, semi_join_ids
 SAMPLE = 12_000
 #: Tenths of the sample that the dictionaries are built from; scores are calibrated on the others, which the dictionaries don't know.
 BUILD = 7
-#: Bytes of the dictionaries' contents.
-TOXIC_BYTES, ORDINARY_BYTES = 8_192, 110_000
-#: Lengths of character sequences whose presence tells toxic documents from ordinary ones.
-GRAMS = (4, 5, 6, 8)
-#: Least log-likelihood gain, log odds and number of toxic documents of such a sequence.
-GAIN, ODDS, SEEN = 25.0, 2.0, 4
-#: Least gain of a whole word that ordinary documents lack.
-WORD_GAIN = 15.0
-#: Keys collected from the sample's counts, at most.
-MOST_KEYS = 60_000
+#: Words in a window; a window begins at every word.
+WIDTH = 4
+#: Bytes of the dictionaries, and windows that either is trained on, at most (by a hash of the window).
+TOXIC_BYTES, ORDINARY_BYTES = 1_536, 110_000
+WINDOWS = 80_000
+#: The trainer's parameters: bytes of a segment and of the sequences that it counts.
+SEGMENT, SEQUENCE = 16, 6
+#: Least log odds, and least log-likelihood gain, of a telling word (a few ordinary contexts are tolerated); their number at most.
+ODDS, GAIN, TELLING = 3.0, 16.0, 5_000
 LEVEL = 3
-#: Cells are pairs of byte counts, each cut to this.
-CELL = 12
-#: Windows remembered by a task.
-CACHE = 400_000
+#: The first and last bin of the bytes saved in a window.
+SAVES = 20
 #: A score from here on predicts 1.
 THRESHOLD = 0.7
 
@@ -55,23 +58,21 @@ def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def grams(word: str) -> set[str]:
-    framed = f" {word} "
-    return {framed[i : i + n] for n in GRAMS for i in range(max(1, len(framed) - n + 1))}
-
-
 @dataclass
 class Model:
     toxic: bytes = b""
     ordinary: bytes = b""
-    #: Log odds of documents with, and of windows in, a cell.
-    odds: dict[tuple[int, int], float] = field(default_factory=dict)
-    rates: dict[tuple[int, int], float] = field(default_factory=dict)
+    #: Log odds that a window with so many bytes saved is of a toxic text.
+    rates: dict[int, float] = field(default_factory=dict)
     #: Of the logistic curve: a weight for each kind of evidence, then the constant.
-    curve: tuple[float, ...] = (0.0, 0.0, 0.0, -5.0)
+    curve: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0, -5.0)
+
+    def plain(self) -> tuple:
+        """What workers need, without this class."""
+        return (self.toxic, self.ordinary, self.rates, self.curve)
 
-    def windows(self) -> Callable[[str], tuple[int, int]]:
-        """The cell of a window, remembered."""
+    def savings(self) -> Callable[[str | None], Counter]:
+        """Of a whole text, the number of windows by bytes that the toxic dictionary saves."""
         import zstandard as zs
 
         params = zs.ZstdCompressionParameters.from_level(LEVEL, format=zs.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0, window_log=18)
@@ -80,66 +81,71 @@ class Model:
             return zs.ZstdCompressor(dict_data=zs.ZstdCompressionDict(content + TAIL + HEAD, dict_type=zs.DICT_TYPE_RAWCONTENT), compression_params=params).compress
 
         with_toxic, plain = compressor(self.ordinary + self.toxic), compressor(self.ordinary)
-        empty = len(with_toxic(HEAD + b"  " + TAIL))
-        known: dict[str, tuple[int, int]] = {}
-
-        def cell(word: str) -> tuple[int, int]:
-            found = known.get(word)
-            if found is None:
-                if len(known) >= CACHE:
-                    known.clear()
-                window = HEAD + b" " + word.encode("utf-8", "replace") + b" " + TAIL
-                n = len(with_toxic(window))
-                found = known[word] = (max(-1, min(CELL, n - empty)), max(-CELL, min(CELL, len(plain(window)) - n)))
-            return found
-
-        return cell
-
-    def evidence(self, cells: dict[tuple[int, int], int]) -> tuple[float, ...]:
-        """From the number of windows in each cell."""
-        if not cells:
-            return (min(self.odds.values(), default=0.0), 0.0, 0.0)
-        total = sum(n * self.rates.get(c, 0.0) for c, n in cells.items())
-        return (max(self.odds.get(c, 0.0) for c in cells), max(-50.0, min(50.0, total)), total / sum(cells.values()) ** 0.5)
+
+        def of(text: str | None) -> Counter:
+            out: Counter = Counter()
+            w = [x.encode("utf-8", "replace") for x in words(text or "")]
+            for i in range(max(1, len(w) - WIDTH + 1) if w else 0):
+                window = HEAD + b" " + b" ".join(w[i : i + WIDTH]) + b" " + TAIL
+                out[max(-SAVES, min(SAVES, len(plain(window)) - len(with_toxic(window))))] += 1
+            return out
+
+        return of
+
+    def evidence(self, saved: dict[int, int]) -> tuple[float, ...]:
+        """From the number of windows by bytes saved."""
+        n = sum(saved.values())
+        if not n:
+            return (0.0, 0.0, 0.0, 0.0)
+        rate = lambda z: self.rates.get(z, 0.0)
+        total = sum(k * rate(z) for z, k in saved.items())
+        return (max(-50.0, min(50.0, total)), total / n**0.5, max(map(rate, saved)), sum(k for z, k in saved.items() if rate(z) > 1) / n)
 
     def score(self, evidence: tuple[float, ...]) -> float:
         z = sum(w * x for w, x in zip(self.curve, (*evidence, 1.0)))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _counts(sample: DataFrame) -> DataFrame:
-    """``key``, ``word`` (else a character sequence), ``toxic``, ``ordinary``: the sample's documents with the key."""
+def _worded(sample: DataFrame) -> DataFrame:
+    """``label``, the texts' words ``w``, and ``i``, ``word`` of each."""
+    found = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    return sample.select("label", found.alias("w")).select("label", "w", F.posexplode("w").alias("i", "word"))
 
-    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            seen: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = set(words(text or ""))
-                keys = {(w, True) for w in own}
-                for w in own:
-                    keys |= {(g, False) for g in grams(w)}
-                seen[label].update(keys)
-            keys = list(set(seen[0]) | set(seen[1]))
-            cols = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_())]
-            cols += [pa.array([seen[x][k] for k in keys], pa.int64()) for x in (1, 0)]
-            return pa.RecordBatch.from_arrays(cols, names=["key", "word", "toxic", "ordinary"])
 
-        return run
+def _contexts(worded: DataFrame) -> DataFrame:
+    """``word``, ``toxic``, ``ordinary``: how many different words precede it in toxic and in ordinary texts."""
+    before = worded.select("label", "word", F.when(F.col("i") > 0, F.get("w", F.col("i") - 1)).otherwise("").alias("before"))
+    pairs = before.groupBy("word", "before").agg(F.max("label").alias("t"), F.max(1 - F.col("label")).alias("o"))
+    return pairs.groupBy("word").agg(F.sum("t").alias("toxic"), F.sum("o").alias("ordinary"))
+
+
+def _few(windows: DataFrame) -> list[bytes]:
+    """At most ``WINDOWS`` of the different windows, by a hash, in a fixed order."""
+    slots = 1 << 20
+    share = min(slots, max(1, slots * WINDOWS // max(1, windows.count())))
+    chosen = windows.where(F.pmod(F.xxhash64("window"), F.lit(slots)) < share).distinct().limit(2 * WINDOWS).collect()
+    texts = sorted(r["window"] for r in chosen)
+    return [f" {t} ".encode("utf-8", "replace") for t in texts][: 2 * WINDOWS]
 
-    parts = map_batches(sample.select("text", "label"), make, "key string, word boolean, toxic bigint, ordinary bigint")
-    return parts.groupBy("key", "word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
+def _dictionary(windows: list[bytes], size: int) -> bytes:
+    """A trained dictionary of at most ``size`` bytes; of very few windows, which can't be trained on, their text itself."""
+    import zstandard as zs
 
-def _content(found: list[str], most: int) -> bytes:
-    """Words, the first ones last, as zstandard prefers near matches."""
-    return (" " + " ".join(reversed(found)) + " ").encode("utf-8", "replace")[-most:]
+    random.Random(5).shuffle(windows)
+    repeated = windows * (2_000 // max(1, len(windows)) + 1)
+    try:
+        return zs.train_dictionary(size, repeated, k=SEGMENT, d=SEQUENCE).as_bytes()
+    except zs.ZstdError:
+        return b"".join(windows)[:size]
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on at most about ``sample`` rows of ``labels`` (chosen by a hash of the id) and the texts of ``docs`` with their ids.
 
-    Rows with a null id or label are left out; equal texts count once. Without toxic or ordinary texts, or without words
-    that tell them apart, the model gives every text the same low score.
+    Rows with a null id or label are left out. Equal texts count once; if their labels differ, and if an id has several
+    labels, the text counts as toxic. Without toxic or ordinary texts, or without words that tell them apart, the model gives
+    every text the same low score.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     total = known.count()
@@ -147,56 +153,51 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     share = slots if total <= sample else max(1, slots * sample // total)
     chosen = known.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(slots)) < share).groupBy("id").agg(F.max("label").alias("label"))
     texts = semi_join_ids(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), chosen.select("id"), "id")
-    rows = materialize(texts.join(F.broadcast(chosen), "id").where("text IS NOT NULL").withColumn("h", F.xxhash64("text")).dropDuplicates(["h"]).select("text", "label", (F.pmod("h", F.lit(10)) < BUILD).alias("build")).repartition(12))
-    size = {r["label"]: r["n"] for r in rows.where("build").groupBy("label").agg(F.count("*").alias("n")).collect()}
-    n_toxic, n_ordinary = size.get(1, 0), size.get(0, 0)
+    once = texts.join(F.broadcast(chosen), "id").where("text IS NOT NULL").groupBy("text").agg(F.max("label").alias("label"))
+    rows = materialize(once.withColumn("build", F.pmod(F.xxhash64("text"), F.lit(10)) < BUILD).repartition(12))
+    worded = _worded(rows.where("build"))
+    counts = materialize(_contexts(worded))
+    n_toxic, n_ordinary = counts.agg(F.sum("toxic"), F.sum("ordinary")).first()
     model = Model()
     if not n_toxic or not n_ordinary:
         return model
-    counts = materialize(_counts(rows.where("build")))
-    p, q = F.col("toxic") / n_toxic, (F.col("ordinary") + 0.5) / (n_ordinary + 1)
-    odds = F.log(p / q)
-    telling = counts.where(f"NOT word AND toxic >= {SEEN}").where((odds > ODDS) & (F.col("toxic") * odds > GAIN)).orderBy((F.col("toxic") * odds).desc(), "key").limit(MOST_KEYS)
-    marks = {r["key"] for r in telling.select("key").collect()}
-    absent = counts.where("word AND ordinary = 0 AND toxic >= 1").orderBy(F.desc("toxic"), "key").limit(MOST_KEYS).select("key", "toxic").collect()
-    unseen = math.log(n_ordinary + 1) - math.log(0.5)
-    telling_words = [(r["key"], r["toxic"]) for r in absent if r["toxic"] * (math.log(r["toxic"] / n_toxic) + unseen) > WORD_GAIN or grams(r["key"]) & marks]
-    least = 2 if len(telling_words) > 300 else 1
-    if not any(n >= least for _, n in telling_words):
+    odds = F.when(F.col("toxic") > 0, F.log((F.col("toxic") / n_toxic) / ((F.col("ordinary") + 0.5) / (n_ordinary + 1)))).otherwise(-99.0)
+    telling = counts.withColumn("odds", odds).where((F.col("odds") > ODDS) & (F.col("toxic") * F.col("odds") > GAIN) & (F.length("word") > 1))
+    telling = telling.orderBy((F.col("toxic") * F.col("odds")).desc(), "word").limit(TELLING).select("word")
+    beside = F.concat_ws(" ", F.slice("w", F.greatest(F.col("i"), F.lit(1)), F.when(F.col("i") > 0, 3).otherwise(2)))
+    toxic = _few(worded.where("label = 1").join(F.broadcast(telling), "word", "left_semi").select(beside.alias("window")))
+    if not toxic:
         return model  # nothing tells the sample's toxic texts from its ordinary ones
-    common = counts.where("word AND ordinary > 0").orderBy(F.desc("ordinary"), "key").limit(20_000).select("key").collect()
-    model.toxic = _content([w for w, n in telling_words if n >= least], TOXIC_BYTES)
-    model.ordinary = _content([r["key"] for r in common], ORDINARY_BYTES)
+    ordinary = _few(worded.where(f"label = 0 AND i % {WIDTH} = 0").select(F.concat_ws(" ", F.slice("w", F.col("i") + 1, WIDTH)).alias("window")))
+    model.toxic, model.ordinary = _dictionary(toxic, TOXIC_BYTES), _dictionary(ordinary, ORDINARY_BYTES)
+    plain = model.plain()
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        cell = model.windows()
+        of = Model(*plain).savings()
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            cells = [[x for (i, j), n in Counter(map(cell, set(words(t)))).items() for x in (i, j, n)] for t in batch.column(0).to_pylist()]
-            return pa.RecordBatch.from_arrays([pa.array(cells, pa.list_(pa.int32())), batch.column(1)], names=["cells", "label"])
+            saved = [[x for pair in sorted(of(t).items()) for x in pair] for t in batch.column(0).to_pylist()]
+            return pa.RecordBatch.from_arrays([pa.array(saved, pa.list_(pa.int32())), batch.column(1)], names=["saved", "label"])
 
         return run
 
-    # one short list of cells for each row of the bounded sample
-    found = map_batches(rows.where("NOT build").select("text", "label"), make, "cells array<int>, label int").collect()
+    # one short list of counts for each row of the bounded sample
+    found = map_batches(rows.where("NOT build").select("text", "label"), make, "saved array<int>, label int").collect()
     if len({y for _, y in found}) < 2:
         return model
-    _calibrate(model, [({(c[i], c[i + 1]): c[i + 2] for i in range(0, len(c), 3)}, y) for c, y in found])
+    _calibrate(model, sorted(([*zip(c[::2], c[1::2])], y) for c, y in found))
     return model
 
 
-def _calibrate(model: Model, seen: list[tuple[dict[tuple[int, int], int], int]]) -> None:
-    """Log odds of the cells, then a logistic regression on the evidence, shifted so that the best F1 on the sample is at ``THRESHOLD``."""
-    docs, windows = (Counter(), Counter()), (Counter(), Counter())
-    for cells, y in seen:
-        docs[y].update(cells.keys())
-        windows[y].update(cells)
-    size = [sum(y == x for _, y in seen) for x in (0, 1)]
+def _calibrate(model: Model, seen: list[tuple[list[tuple[int, int]], int]]) -> None:
+    """Log odds of windows, then a logistic regression on the evidence, shifted so that the best F1 on the sample is at ``THRESHOLD``."""
+    windows = (Counter(), Counter())
+    for saved, y in seen:
+        windows[y].update(dict(saved))
     total = [sum(windows[x].values()) or 1 for x in (0, 1)]
-    for c in {*docs[0], *docs[1]}:
-        model.odds[c] = math.log(((docs[1][c] + 0.5) / (size[1] + 1)) / ((docs[0][c] + 0.5) / (size[0] + 1)))
-        model.rates[c] = math.log(((windows[1][c] + 0.5) / total[1]) / ((windows[0][c] + 0.5) / total[0]))
-    x = np.array([(*model.evidence(cells), 1.0) for cells, _ in seen])
+    for z in {*windows[0], *windows[1]}:
+        model.rates[z] = math.log(((windows[1][z] + 0.5) / total[1]) / ((windows[0][z] + 0.5) / total[0]))
+    x = np.array([(*model.evidence(dict(saved)), 1.0) for saved, _ in seen])
     y = np.array([label for _, label in seen], float)
     scale = np.abs(x).max(axis=0) + 1e-9
     w = np.zeros(x.shape[1])
@@ -208,7 +209,7 @@ def _calibrate(model: Model, seen: list[tuple[dict[tuple[int, int], int], int]])
     w = w / scale
     z = x @ w
     order = np.argsort(-z, kind="stable")
-    hits, f1 = np.cumsum(y[order]), None
+    hits = np.cumsum(y[order])
     f1 = 2 * hits / (np.arange(len(z)) + 1 + y.sum())
     last = np.append(z[order][:-1] > z[order][1:], True)
     at = int(np.argmax(np.where(last, f1, -1)))
@@ -220,13 +221,13 @@ def _calibrate(model: Model, seen: list[tuple[dict[tuple[int, int], int], int]])
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``score`` (0 to 1), ``predicted`` (1 from ``THRESHOLD`` on) for each whole text.
 
-    Null and empty texts, and texts without words, have no window and get the lowest evidence's score. Repeated rows are
-    scored each; an empty table gives no rows; other columns are not read.
+    Null and empty texts, and texts without words, have no window and no evidence. Repeated rows are
+    scored each; very long texts are scored whole; an empty table gives no rows; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain())
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        of = _scores(shared.value)
+        of = _scores(Model(*shared.value))
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             scores = [of(t) for t in batch.column(1).to_pylist()]
@@ -239,16 +240,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def _scores(model: Model) -> Callable[[str | None], float]:
-    cell = model.windows()
-    return lambda text: model.score(model.evidence(Counter(map(cell, set(words(text or ""))))))
+    of = model.savings()
+    return lambda text: model.score(model.evidence(of(text)))
 
 
 def keep(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that aren't predicted toxic."""
-    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+    shared, at = docs.sparkSession.sparkContext.broadcast(model.plain()), docs.columns.index(text_col)
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        of = _scores(shared.value)
+        of = _scores(Model(*shared.value))
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             return batch.filter(pa.array([of(t) < THRESHOLD for t in batch.column(at).to_pylist()], pa.bool_()))
