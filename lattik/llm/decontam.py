@@ -30,18 +30,27 @@ UNITS = (
     "minutes", "hours", "days", "weeks", "months", "years", "dollars", "cents", "euros", "percent", "degrees", "watts", "volts",
 )
 MARK = "\x01"
-#: A name: a capitalised word that does not begin a sentence.
-_NAME = r"(?<=[\p{L}\p{N},;]) (\p{Lu}\p{Ll}+)(?!\p{L})"
-#: A capitalised word that begins a text.
-_FIRST = r"^[^\p{L}\p{N}]*(\p{Lu}\p{Ll}+)(?!\p{L})"
-_NUMBER = r"(\d+(?:[.,]\d+)*)(?:\s?(" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}]))?"
+#: Capitalised words that are no names: those that begin sentences and questions (fixed values).
+COMMON = (
+    "a", "about", "after", "all", "an", "and", "are", "as", "at", "before", "but", "by", "can", "did", "do", "does", "each", "every", "find", "first", "for", "from",
+    "given", "had", "has", "have", "he", "her", "his", "how", "if", "in", "is", "it", "its", "let", "many", "most", "much", "no", "not", "now", "of", "on", "one", "or",
+    "our", "she", "so", "some", "that", "the", "their", "then", "there", "these", "they", "this", "those", "to", "two", "was", "we", "were", "what", "when", "where",
+    "which", "while", "who", "whose", "why", "will", "with", "you", "your",
+)
+#: A name: any other capitalised word, wherever it stands.
+_NAME = r"(?<![\p{L}\p{N}])(?!(?:" + "|".join(w.capitalize() for w in COMMON) + r")(?!\p{L}))(\p{Lu}\p{Ll}+)(?!\p{L})"
+#: Possessive, so that Java's matcher doesn't recurse on long runs of digits and dots.
+_NUMBER = r"(\d++(?:[.,]\d++)*+)(?:\s?(" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}]))?"
 _TOKEN = MARK + r"[a-z]+:[^ \x01]*|[\p{L}\p{N}]+"
 
 
-def tokens(text: Column) -> Column:
-    """Lower-cased words; a slot is ``\\x01kind:value``, and each number has a unit slot behind it, maybe of empty value."""
+def tokens(text: Column, names: bool = True) -> Column:
+    """Lower-cased words; a slot is ``\\x01kind:value``, and each number has a unit slot behind it, maybe of empty value.
+
+    Without ``names`` these are words like others, as in a copy that is all in lower case.
+    """
     plain = F.translate(F.coalesce(text, F.lit("")), MARK, "")
-    named = F.lower(F.regexp_replace(plain, _NAME, f" {MARK}name:$1"))
+    named = F.lower(F.regexp_replace(plain, _NAME, f" {MARK}name:$1") if names else plain)
     return F.regexp_extract_all(F.regexp_replace(named, _NUMBER, f" {MARK}num:$1 {MARK}unit:$2 "), F.lit(_TOKEN), F.lit(0))
 
 
@@ -88,32 +97,25 @@ def _occurrences(pairs: DataFrame) -> DataFrame:
     return runs.select("id", "item", "q", "a", "b", "starts", F.explode(F.array_compact(F.array(*groups))).alias("g"))
 
 
-def _as_name(words: Column, width: int) -> Column:
-    """An item's first window as it reads behind other words, where its capitalised first word looks like a name."""
-    return F.concat(F.array(F.concat(F.lit(f"{MARK}name:"), F.get(words, 0))), F.slice(words, 2, width - 1))
-
-
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """``id_col``, ``item_col``, ``n_windows`` (of the item), ``n_matched``, ``n_slots``, ``n_consistent``: items found in documents.
 
     The last three are those of the accepted group of matches (see ``_occurrences``) with most windows. Null and empty texts
     and items match nothing, nor do null ids. Rows of equal id count as one document; of rows of equal item each text is looked
-    for, and the best found one is given. An empty table on either side gives no rows; other columns are not read.
+    for (with its names as slots and as words), and the best found one is given; ties go to the one with more consistent slots.
+    Very long texts are read whole. An empty table on either side gives no rows; other columns are not read.
     """
-    plain = F.translate(F.coalesce(F.col(item_text), F.lit("")), MARK, "")
-    begins = F.lower(F.regexp_extract(plain, _FIRST, 1))
-    worded = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("own"), tokens(F.col(item_text)).alias("iw"), begins.alias("begins")).where(F.size("iw") > 0).distinct()
+    forms = [benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("own"), tokens(F.col(item_text), names).alias("iw")) for names in (True, False)]
+    worded = forms[0].unionByName(forms[1]).where(F.size("iw") > 0).distinct()
     words = F.size(F.filter("iw", _counts)).alias("n_words")
-    items = materialize(worded.select("own", "iw", "begins", F.xxhash64("own", F.array_join("iw", " "), "begins").alias("item"), F.least(F.size("iw"), F.lit(WIDTH)).alias("width"), words))
+    items = materialize(worded.select("own", "iw", F.xxhash64("own", F.array_join("iw", " ")).alias("item"), F.least(F.size("iw"), F.lit(WIDTH)).alias("width"), words))
     widths = [r["width"] for r in items.select("width").distinct().collect()]  # at most WIDTH rows
     if not widths:
         widths = [WIDTH]
     windows = None
     for width in widths:
-        part = items.where(F.col("width") == width).select("item", F.lit(False).alias("named"), F.posexplode(_windows(F.col("iw"), width)).alias("q", "hash"))
-        first = items.where((F.col("width") == width) & (F.col("begins") != "")).withColumn("iw", _as_name(F.col("iw"), width))
-        first = first.select("item", F.lit(True).alias("named"), F.posexplode(_windows(F.col("iw"), width)).alias("q", "hash"))
-        windows = part.unionByName(first) if windows is None else windows.unionByName(part).unionByName(first)
+        part = items.where(F.col("width") == width).select("item", F.posexplode(_windows(F.col("iw"), width)).alias("q", "hash"))
+        windows = part if windows is None else windows.unionByName(part)
     windows = materialize(windows.distinct())
     small = windows.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     hint = F.broadcast if small else lambda x: x
@@ -136,8 +138,8 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     for width in widths:
         at = again.select("id", F.xxhash64("text").alias("row"), "dw", F.posexplode(_windows(F.col("dw"), width)).alias("p", "hash"))
         part = at.join(hint(windows), "hash").join(items.where(F.col("width") == width), "item").select(
-            "id", "row", "item", "p", "q", "named", F.when(F.col("named"), _as_name(F.col("iw"), width)).otherwise(F.slice("iw", F.col("q") + 1, width)).alias("a"), F.slice("dw", F.col("p") + 1, width).alias("b")
-        ).where(~F.col("named") | (F.get("a", 0) == F.get("b", 0))).drop("named")
+            "id", "row", "item", "p", "q", F.slice("iw", F.col("q") + 1, width).alias("a"), F.slice("dw", F.col("p") + 1, width).alias("b")
+        )
         found = part if found is None else found.unionByName(part)
     found = found.join(likely.select("id", "item"), ["id", "item"], "left_semi")
     found = found.select("id", "row", "item", "p", "q", (F.col("a") == F.col("b")).alias("exact"), F.posexplode(F.arrays_zip("a", "b")).alias("o", "z"))
