@@ -2,7 +2,7 @@
 
 Two zstandard dictionaries are trained (``zstandard.train_dictionary``) on separate parts of a bounded labelled sample: one on
 windows of ordinary texts, one on those windows of toxic texts that hold a word which tells toxic texts from ordinary ones. A
-text is cut into overlapping windows of ``WIDTH`` words; each is compressed with the ordinary dictionary, and with the toxic
+text is cut into overlapping windows of ``WIDTH`` words; each (by spans first) is compressed with the ordinary dictionary, and with the toxic
 one joined to it, so that both compressors know ordinary text equally well and the difference of the lengths is what the
 toxic dictionary explains. (With the toxic dictionary alone, common words make that difference noisy: the README has figures.)
 Windows stand between fixed carriers that both dictionaries end with, so a block is always compressed.
@@ -34,8 +34,9 @@ from lattik.llm.common import map_batches, materialize, semi_join_ids
 SAMPLE = 12_000
 #: Tenths of the sample that the dictionaries are built from; scores are calibrated on the others, which the dictionaries don't know.
 BUILD = 7
-#: Words in a window; a window begins at every word.
-WIDTH = 4
+#: Words in a window; a window begins at every word. Windows are first compressed together, as spans of so many words; only a
+#: span in which the toxic dictionary saves ``NOTABLE`` bytes is looked at window by window, in others nothing is saved.
+WIDTH, SPAN, NOTABLE = 4, 8, 2
 #: Bytes of the dictionaries, and windows that either is trained on, at most (by a hash of the window).
 TOXIC_BYTES, ORDINARY_BYTES = 1_536, 110_000
 WINDOWS = 80_000
@@ -82,12 +83,20 @@ class Model:
 
         with_toxic, plain = compressor(self.ordinary + self.toxic), compressor(self.ordinary)
 
+        def saved(part: list[bytes]) -> int:
+            window = HEAD + b" " + b" ".join(part) + b" " + TAIL
+            return len(plain(window)) - len(with_toxic(window))
+
         def of(text: str | None) -> Counter:
             out: Counter = Counter()
             w = [x.encode("utf-8", "replace") for x in words(text or "")]
-            for i in range(max(1, len(w) - WIDTH + 1) if w else 0):
-                window = HEAD + b" " + b" ".join(w[i : i + WIDTH]) + b" " + TAIL
-                out[max(-SAVES, min(SAVES, len(plain(window)) - len(with_toxic(window))))] += 1
+            starts = max(1, len(w) - WIDTH + 1) if w else 0
+            for i in range(0, starts, SPAN - WIDTH + 1):
+                here = min(starts, i + SPAN - WIDTH + 1)
+                if here - i == 1 or saved(w[i : i + SPAN]) >= NOTABLE:
+                    out.update(max(-SAVES, min(SAVES, saved(w[k : k + WIDTH]))) for k in range(i, here))
+                else:
+                    out[0] += here - i
             return out
 
         return of
