@@ -1,6 +1,6 @@
 """BPE encoding and decoding by tree concatenation.
 
-A long text is halved until the leaves are short; leaves are encoded independently (in parallel with more than one thread) and
+A long text is halved until the leaves are short; leaves are encoded independently, several at a time, and
 neighbours are joined by encoding a window around the join again. The window grows until both sides agree with it at
 places where agreement is proof:
 
@@ -16,7 +16,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
-import os
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -28,7 +27,9 @@ from pyspark.sql import functions as F
 from lattik.llm.common import map_batches
 
 #: Characters in a leaf; longer texts are halved.
-LEAF = 32_768
+LEAF = 4_096
+#: Leaves of one text that are encoded at the same time.
+THREADS = 2
 #: Characters on either side of a join in the first window.
 WINDOW = 64
 #: Characters around a window's edge that must be of one class for the edge to lie inside one unsplit piece.
@@ -78,7 +79,7 @@ class Codec:
     ``Tokenizer.decode(ids, skip_special_tokens=False)``.
     """
 
-    def __init__(self, path: str, leaf: int = LEAF, threads: int = 1):
+    def __init__(self, path: str, leaf: int = LEAF, threads: int = THREADS):
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
@@ -99,7 +100,7 @@ class Codec:
         self.table = [self.ids.get(i, b"") for i in range(max(self.ids) + 1)]
         self.decimal = [str(i) for i in range(len(self.table))]
         self.split = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(special, key=len, reverse=True)) + ")") if special else None
-        self.leaf, self.threads = leaf, threads
+        self.leaf, self.pool = leaf, ThreadPoolExecutor(threads) if threads > 1 else None
         self.raw = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def encode(self, text: str) -> list[int]:
@@ -117,11 +118,7 @@ class Codec:
         while max(b - a for a, b in zip(cuts, cuts[1:])) > self.leaf:
             cuts = sorted({*cuts, *((a + b) // 2 for a, b in zip(cuts, cuts[1:]))})
         leaves = [text[a:b] for a, b in zip(cuts, cuts[1:])]
-        if self.threads > 1:  # the encoder releases the interpreter's lock
-            with ThreadPoolExecutor(self.threads) as pool:
-                parts = list(pool.map(self.raw, leaves))
-        else:
-            parts = [self.raw(x) for x in leaves]
+        parts = list((self.pool.map if self.pool else map)(self.raw, leaves))  # the encoder releases the interpreter's lock
         spans = list(zip(cuts, cuts[1:]))
         while len(parts) > 1:  # neighbours, level by level
             nodes = [(self.join(text, spans[i], parts[i], spans[i + 1], parts[i + 1]), (spans[i][0], spans[i + 1][1])) if i + 1 < len(parts) else (parts[i], spans[i]) for i in range(0, len(parts), 2)]
@@ -191,15 +188,13 @@ def _digest(parts: bytes) -> str:
     return hashlib.sha256(parts).hexdigest()
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, leaf: int = LEAF) -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, leaf: int = LEAF, threads: int = THREADS) -> DataFrame:
     """Encode every whole text, then decode the ids again.
 
     Returns ``id_col``, ``n_tokens``, ``ids`` (with ``keep_ids``), ``ids_sha256`` (of the decimal ids joined by commas)
     and ``decoded_sha256``. A null text counts as empty (no ids); an empty table gives no rows; repeated rows are encoded
-    each; other columns are not read. ``path`` must be readable on every executor.
+    each; very long texts are encoded whole; other columns are not read. ``path`` must be readable on every executor.
     """
-    threads = max(1, int(os.environ.get("LATTIK_BPE_THREADS", "1")))
-
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         codec = Codec(path, leaf, threads)
 

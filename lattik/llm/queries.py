@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lattik.llm import bpe, decontam, html_text, langid, minhash, quality, sharding, toxicity, urlfilter, warc
 from lattik.llm.common import materialize
 
-#: Where the vocabulary files of public tokenizers are; a parameter of the operators.
-TOKENIZERS = os.environ.get("LATTIK_TOKENIZERS", "/opt/tokenizers")
-VOCABULARY = "byte_bpe_50k.json"
+#: The vocabulary file; its path is a parameter of the operators.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +45,7 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/{VOCABULARY}", keep_ids=False)
+    return bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY, keep_ids=False)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

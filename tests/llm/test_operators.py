@@ -77,7 +77,7 @@ def test_bit_planes_estimate_similarity(spark):
 def test_bpe_equals_the_library(spark):
     from tokenizers import Tokenizer
 
-    path = f"{queries.TOKENIZERS}/{queries.VOCABULARY}"
+    path = queries.VOCABULARY
     library = Tokenizer.from_file(path)
     rng = random.Random(2)
     pools = ["ab", " \n\t", "a'b's 12!", "éü日本", "<|endoftext|>x ", "😀 a", "1234567", "!?-"]
@@ -96,7 +96,7 @@ def test_bpe_equals_the_library(spark):
 
 
 def test_bpe_joins_without_encoding_all_again():
-    codec = bpe.Codec(f"{queries.TOKENIZERS}/{queries.VOCABULARY}", leaf=1000)
+    codec = bpe.Codec(queries.VOCABULARY, leaf=1000)
     text, sizes, raw = "".join(random.Random(4).choice("abcdefgh") for _ in range(64_000)), [], codec.raw
     codec.raw = lambda t: (sizes.append(len(t)), raw(t))[1]
     assert codec.encode(text) == raw(text)
@@ -224,6 +224,17 @@ def test_decontamination_finds_parts_edits_and_short_items(spark):
     assert got == {(0, 1), (2, 1), (2, 2), (3, 1), (3, 2), (4, 3), (5, 3), (6, 3)}
 
 
+def test_decontamination_lower_case_sentence_names_and_long_runs(spark):
+    item = "Anna sold 12 kg of apples to Peter for 30 dollars. Peter sold 7 kg of them to Maria, and Anna paid Maria with 12 dollars."
+    moved = "Clara sold 17 kg of apples to John for 44 dollars. John sold 9 kg of them to Susan, and Clara paid Susan with 17 dollars."
+    mixed = "Clara sold 17 kg of apples to John for 44 dollars. Susan sold 9 kg of them to John, and Emma paid Frank with 99 dollars."
+    series = "Continue the series 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 and name the rule"
+    texts = [item.lower(), f"Before. {moved} After.", f"Before. {mixed} After.", f"See: {series}.", "1." * 200_000 + "1", "9" * 300_000, item]
+    bench = spark.createDataFrame([(1, item), (2, series)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.find(docs_of(spark, texts, [0, 1, 2, 3, 4, 5, None]), bench).collect()}
+    assert got == {(0, 1), (1, 1), (3, 2)}
+
+
 def test_decontamination_finds_the_planted_passages(spark):
     sf = "/root/testdata/sf0.01"
     import re
