@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lattik.llm import bpe, decontam, langid, minhash, toxicity
 from lattik.llm.common import anti_join_ids, materialize
-from lattik.llm.queries import TOKENIZERS, VOCABULARY, table
+from lattik.llm.queries import VOCABULARY, table
 
 #: Least posterior of a language.
 SURE = 0.5
@@ -40,7 +40,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, with their digests."""
-    return bpe.encode(docs, f"{TOKENIZERS}/{VOCABULARY}").select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    return bpe.encode(docs, VOCABULARY).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
