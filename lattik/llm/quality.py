@@ -1,8 +1,11 @@
 """Quality rules by weak supervision, in DataFrame functions only.
 
-Six rules look at a text's statistics and vote good (1), bad (-1) or abstain (0); four of them see only one fault each and
-have no good vote. Expectation-maximisation over the table of vote patterns (at most 3^6 rows, whatever the corpus) estimates how often each rule votes either way on good and
-on bad texts (its accuracies); the posterior probability of a text being good replaces a filter that all rules must pass.
+Eight rules look at a text's statistics and vote good (1), bad (-1) or abstain (0). They overlap: junk of one kind moves several
+statistics at once (symbols between words also lengthen or shorten words, and break the ends of lines). That overlap is what
+expectation-maximisation over the table of vote patterns (at most 3^8 rows, whatever the corpus) learns each rule's accuracies
+from: how often it votes either way on good and on bad texts. It begins with the share of good votes and has no bound on any
+accuracy. The posterior probability that a text is good replaces a filter that all rules must pass: a bad vote of a rule that
+turns out to say little doesn't reject a text, and abstentions of telling rules may.
 """
 
 from __future__ import annotations
@@ -18,8 +21,13 @@ SYMBOLS = "#*$%&|<>"
 #: Bits of a window key that hold its position; the others hold its hash. Strings of 2 GB have fewer words.
 PLACE = 30
 #: Rounds of expectation-maximisation, and the change of the prior that ends it.
-ROUNDS, STILL = 30, 1e-6
+ROUNDS, STILL = 40, 1e-5
+#: Votes of each kind that every rule is taken to have cast besides (no chance is then 0).
+SMOOTH = 0.5
 KEEP = 0.5
+#: Characters at which lines end that are sentences or headings, and those that plain prose is made of.
+LINE_ENDS = ".!?:;,\"'”»)"
+PROSE = r"[\p{L}\p{M}\p{N}\s.,;:?'’\"“”«»()¿¡-]+"
 
 
 def let(value: Column, body) -> Column:
@@ -75,6 +83,8 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         repeat_words(F.col("words")).alias("n_repeat_words"),
         (F.char_length("text") - F.char_length(F.regexp_replace("text", r"\p{Lu}+", ""))).cast("bigint").alias("n_upper"),
+        F.char_length(F.regexp_replace("text", PROSE, "")).cast("bigint").alias("n_odd"),
+        F.size(F.filter("lines", lambda x: F.lit(LINE_ENDS).contains(F.substring(F.btrim(x, F.lit(GAP_CHARS)), -1, 1)))).cast("bigint").alias("n_ended"),
     )
 
 
@@ -84,24 +94,18 @@ def _vote(good: str, bad: str) -> Column:
 
 #: Name, condition of a good vote, condition of a bad one (which goes first).
 RULES = (
-    ("length", "n_words >= 80", "n_words < 20"),
-    ("word_length", "word_chars BETWEEN 3 * n_words AND 9 * n_words", "word_chars > 14 * n_words OR word_chars < 2 * n_words"),
-    ("symbols", "false", "10 * n_symbols > n_words"),
-    ("lines", "false", "100 * n_dup_lines > 30 * n_lines"),
-    ("repeats", "false", "100 * n_repeat_words > 25 * n_words"),
-    ("shouting", "false", "100 * n_upper > 30 * word_chars"),
+    ("length", "n_words >= 80", "n_words < 60"),
+    ("word_length", "10 * word_chars BETWEEN 45 * n_words AND 65 * n_words", "10 * word_chars > 75 * n_words OR 10 * word_chars < 43 * n_words"),
+    ("symbols", "100 * n_symbols <= n_words", "10 * n_symbols > n_words"),
+    ("odd", "100 * n_odd <= 2 * n_words", "10 * n_odd > n_words"),
+    ("ends", "100 * n_ended >= 98 * n_lines", "100 * n_ended < 92 * n_lines"),
+    ("lines", "100 * n_dup_lines <= 5 * n_lines", "100 * n_dup_lines > 30 * n_lines"),
+    ("repeats", "100 * n_repeat_words <= 5 * n_words", "100 * n_repeat_words > 25 * n_words"),
+    ("shouting", "100 * n_upper <= 8 * word_chars", "100 * n_upper > 30 * word_chars"),
 )
 BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
 
 
-#: Where estimation starts, and its prior weight in votes: chances of a good and of a bad vote (else the rule abstains), for
-#: rules with and without good votes.
-START = {True: {"good": (0.75, 0.005), "bad": (0.65, 0.1)}, False: {"good": (0.0, 0.005), "bad": (0.0, 0.35)}}
-STRENGTH = 5.0
-#: Greatest chance of a bad vote on a good text: the rules' conditions are chosen to be rare there.
-FALSE_ALARM = 0.005
-
-
 def posterior(prior: float, chances: dict[str, dict[str, tuple[float, float]]]) -> Column:
     """Probability that a text is good, from its votes; ``chances``: of a good and of a bad vote by rule, on good and bad texts."""
     sides = {"good": F.lit(prior), "bad": F.lit(1 - prior)}
@@ -112,46 +116,49 @@ def posterior(prior: float, chances: dict[str, dict[str, tuple[float, float]]])
     return sides["good"] / (sides["good"] + sides["bad"])
 
 
-def estimate(patterns: DataFrame) -> tuple[float, dict[str, dict[str, tuple[float, float]]]]:
+def estimate(patterns: DataFrame, names: tuple[str, ...] = tuple(name for name, _, _ in RULES)) -> tuple[float, dict[str, dict[str, tuple[float, float]]]]:
     """Prior and each rule's chances by expectation-maximisation, from vote patterns with their ``n``.
 
-    One row of sums comes back each round. A rule votes bad on bad texts at least as often as on good ones, which ties the
-    two classes to the rules' sense.
+    One row of sums comes back each round. Good is the class that the share of good votes in a pattern begins with; if the
+    rules' good votes turn out to be rarer there than in the other class, the two are exchanged.
     """
-    prior, chances = 0.85, {name: START[good != "false"] for name, good, _ in RULES}
+    votes = [F.col(name) for name in names]
+    up, down = (sum(((v == x).cast("int") for v in votes), F.lit(0)) for x in (1, -1))
+    p, prior, chances = (up + 1) / (up + down + 2.0), 0.5, {name: {"good": (1 / 3, 1 / 3), "bad": (1 / 3, 1 / 3)} for name in names}
     for _ in range(ROUNDS):
-        p = F.col("p")
-        weights = {"good": p, "bad": 1 - p}
+        weights = {"good": F.col("p"), "bad": 1 - F.col("p")}
         sums = [F.sum(F.col("n") * w).alias(kind) for kind, w in weights.items()]
-        for name, _, _ in RULES:
+        for name in names:
             for kind, w in weights.items():
                 for vote, tag in ((1, "up"), (-1, "down")):
                     sums.append(F.sum(F.when(F.col(name) == vote, F.col("n") * w).otherwise(0.0)).alias(f"{name}_{kind}_{tag}"))
-        row = patterns.withColumn("p", posterior(prior, chances)).agg(*sums).first()
+        row = patterns.withColumn("p", p).agg(*sums).first()
         if row["good"] is None:
             break
-        before, prior = prior, min(0.99, max(0.5, row["good"] / (row["good"] + row["bad"])))
-        for name, good, _ in RULES:
-            start = START[good != "false"]
-            of = {kind: tuple((row[f"{name}_{kind}_{tag}"] + STRENGTH * start[kind][k]) / (row[kind] + STRENGTH) for k, tag in enumerate(("up", "down"))) for kind in weights}
-            of["good"] = (of["good"][0], min(FALSE_ALARM, of["good"][1]))
-            of["bad"] = (min(of["bad"][0], 1 - 1.01 * max(of["bad"][1], of["good"][1])), max(of["bad"][1], of["good"][1]))
-            chances[name] = of
+        before, prior = prior, (row["good"] + SMOOTH) / (row["good"] + row["bad"] + 2 * SMOOTH)
+        chances = {
+            name: {kind: tuple((row[f"{name}_{kind}_{tag}"] + SMOOTH) / (row[kind] + 3 * SMOOTH) for tag in ("up", "down")) for kind in weights}
+            for name in names
+        }
+        p = posterior(prior, chances)
         if abs(prior - before) < STILL:
             break
+    if sum(of["good"][0] - of["good"][1] - of["bad"][0] + of["bad"][1] for of in chances.values()) < 0:
+        prior, chances = 1 - prior, {name: {"good": of["bad"], "bad": of["good"]} for name, of in chances.items()}
     return prior, chances
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, the counts, ``base_failed``, ``p_good`` (posterior) and ``kept`` for each whole text.
 
-    Null and empty texts have no words and fail the base rule. Repeated rows are judged (and counted) each; an empty table
-    gives no rows; other columns are not read.
+    Null and empty texts have no words and fail the base rule; accuracies are estimated from all texts that pass it. Repeated
+    rows are judged (and counted) each; very long texts are read whole; an empty table gives no rows; other columns are not
+    read.
     """
     counted = statistics(docs, id_col, text_col)
     voted = materialize(counted.select("*", *(_vote(good, bad).alias(name) for name, good, bad in RULES)))
     names = [name for name, _, _ in RULES]
-    patterns = materialize(voted.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1))
+    patterns = materialize(voted.where(f"NOT ({BASE_FAILED})").groupBy(*names).agg(F.count("*").alias("n")).coalesce(1))
     prior, chances = estimate(patterns)
     out = voted.withColumn("base_failed", F.expr(BASE_FAILED)).withColumn("p_good", posterior(prior, chances))
     out = out.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= KEEP))

@@ -164,6 +164,39 @@ def test_quality_counts_and_verdicts(spark):
     assert quality.judge(docs_of(spark, texts).limit(0)).collect() == []
 
 
+def planted_votes(rng, n, chances, prior):
+    rows = Counter()
+    for _ in range(n):
+        kind = "good" if rng.random() < prior else "bad"
+        rows[tuple(1 if (x := rng.random()) < chances[r][kind][0] else -1 if x < sum(chances[r][kind]) else 0 for r in chances)] += 1
+    return rows
+
+
+def test_quality_recovers_planted_accuracies_and_weighs_votes(spark):
+    chances = {"a": {"good": (0.9, 0.02), "bad": (0.1, 0.8)}, "b": {"good": (0.7, 0.1), "bad": (0.3, 0.6)}, "c": {"good": (0.8, 0.05), "bad": (0.05, 0.15)}, "d": {"good": (0.4, 0.4), "bad": (0.35, 0.45)}, "e": {"good": (0.85, 0.05), "bad": (0.1, 0.75)}}
+    rows = planted_votes(random.Random(8), 20_000, chances, 0.8)
+    table = spark.createDataFrame([(*k, n) for k, n in rows.items()], "a int, b int, c int, d int, e int, n long")
+    prior, found = quality.estimate(table, tuple("abcde"))
+    assert abs(prior - 0.8) < 0.03
+    for name, of in chances.items():
+        for kind in of:
+            assert all(abs(x - y) < 0.05 for x, y in zip(found[name][kind], of[kind])), (name, kind, found[name])
+    p = {tuple(r[:5]): r["p"] for r in table.withColumn("p", quality.posterior(prior, found)).drop("n").collect()}
+    assert p[1, 1, 1, -1, 1] > 0.9  # a bad vote of a rule that says nothing
+    quiet = [v for k, v in p.items() if -1 not in k and k[0] == 0 and k[2] == 0 and k[4] == 0]
+    assert quiet and min(quiet) < 0.5  # telling rules abstain
+
+    def brute(k):
+        on = {kind: (prior if kind == "good" else 1 - prior) for kind in ("good", "bad")}
+        for name, v in zip("abcde", k):
+            for kind in on:
+                up, down = found[name][kind]
+                on[kind] *= up if v == 1 else down if v == -1 else 1 - up - down
+        return on["good"] / sum(on.values())
+
+    assert all(abs(brute(k) - v) < 1e-9 for k, v in p.items())
+
+
 @pytest.mark.parametrize("n", [0, 5, 100])
 def test_sharding_equals_brute_force(spark, n):
     rng = random.Random(n)
