@@ -12,7 +12,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,11 @@ MINIMA = BANDS * ROWS
 SLACK = 6.0
 #: Rounds in which each unsettled bucket compares one hub with its other members.
 STAR_ROUNDS = 2
+#: Groups of equal texts that hold more than one such part of all rows are joined by broadcast.
+HOT_GROUPS = 1_000
 
 _M64 = (1 << 64) - 1
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def _rng_words(n: int, seed: int) -> np.ndarray:
@@ -72,8 +76,10 @@ class Shingler:
         parts, at = [], 0
         while at < len(data):
             end = min(len(data), at + self.CHUNK)
-            while end < len(data) and not self.space[data[end]]:  # on to the end of the word
-                end += 1
+            if end < len(data) and (gap := _GAP.search(data, end)):  # on to the end of the word
+                end = gap.start()
+            elif end < len(data):
+                end = len(data)
             parts.append(self._words(np.frombuffer(data, np.uint8, end - at, at)))
             at = end
         return np.concatenate(parts) if parts else np.empty(0, np.uint64)
@@ -248,16 +254,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
     Two texts are linked if 100 * |A and B| >= percent * |A or B| for their sets of distinct ``width``-word shingles.
     Null, empty and white-space texts have no set and are linked with nothing; a row whose id is null is linked with
-    nothing, its component is null and it is kept; repeated rows are returned each, ties go to the smallest id; an empty
+    nothing, its component is null and it is kept; very long texts are read whole; repeated rows are returned each, ties go to the smallest id; an empty
     table gives no rows. Other columns are not read.
     """
     signed = materialize(signatures(docs, width, id_col, text_col))
     own = F.col("id").isNotNull() & (F.col("n") > 0)
     nodes = materialize(
-        signed.where(own).groupBy("f1", "f2").agg(F.min("id").alias("first_id"), *(F.first(c).alias(c) for c in ("n", "planes", "bands")))
+        signed.where(own).groupBy("f1", "f2").agg(F.min("id").alias("first_id"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("n", "planes", "bands")))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    spread = nodes.select("node", F.explode("bands").alias("bucket")).repartition("bucket")
+    spread = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     buckets = materialize(spread.join(shared, "bucket").select("bucket", "node", "members"))
     involved = buckets.groupBy("node").agg(F.sum("members").alias("weight"))
@@ -307,7 +313,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         labels = materialize(components(links))
     heads = labels.join(facts.select("node", "first_id"), "node").groupBy("label").agg(F.min("first_id").alias("component_id"))
     grouped = labels.join(heads, "label").join(facts.select("node", "f1", "f2"), "node").select("f1", "f2", "component_id")
-    firsts = nodes.select("f1", "f2", "first_id").join(grouped, ["f1", "f2"], "left").select("f1", "f2", F.coalesce("component_id", "first_id").alias("component_id"))
-    out = signed.select("id", "n", "f1", "f2").join(firsts, ["f1", "f2"], "left")
+    firsts = nodes.select("f1", "f2", "first_id", "copies").join(grouped, ["f1", "f2"], "left").select("f1", "f2", "copies", F.coalesce("component_id", "first_id").alias("component_id"))
+    # groups with a thousandth of all rows, fewer than a thousand, are answered by broadcast; no key of the other join is hot
+    hot = F.col("copies") > F.lit(nodes.agg(F.sum("copies")).first()[0] or 0) / HOT_GROUPS
+    firsts = materialize(firsts.withColumn("hot", hot).drop("copies"))
+    rows = signed.select("id", "n", "f1", "f2")
+    known = F.broadcast(firsts.where("hot").select("f1", "f2", F.col("component_id").alias("c")))
+    large = rows.join(known, ["f1", "f2"]).withColumnRenamed("c", "component_id")
+    small = rows.join(known, ["f1", "f2"], "left_anti").join(firsts.where("NOT hot").drop("hot"), ["f1", "f2"], "left")
+    out = large.unionByName(small)
     out = out.withColumn("component_id", F.when(own, F.col("component_id")).otherwise(F.col("id")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
