@@ -97,13 +97,13 @@ FROM s WINDOW o AS (PARTITION BY file ORDER BY page_id NULLS FIRST, sha256 ROWS
 
 #: Verdict and rule (host/path), as the contract of op10 fixes them.
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-#: Words of host names that mark a labelled URL as one to block; hosts without one are labelled as allowed.
-URL_SEEDS = ("adult", "bets", "casino", "spam")
+#: Words of host names that mark a labelled URL as one to block; URLs of other hosts are labelled as allowed.
+URL_SEEDS = ("adult", "ads", "bets", "casino", "pills", "porn", "spam", "track", "viagra", "warez")
 
 
 def op10_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    seeded = pages.select("url", urlfilter.host(F.col("url")).rlike("|".join(URL_SEEDS)).cast("int").alias("blocked"))
+    seeded = pages.select("url", urlfilter.host(F.col("url")).rlike(r"(^|[.-])(" + "|".join(URL_SEEDS) + r")([.-]|$)").cast("int").alias("blocked"))
     return urlfilter.judge(pages, urlfilter.train(seeded.where("url IS NOT NULL")), URL_RULES)
 
 

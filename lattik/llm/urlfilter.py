@@ -2,7 +2,8 @@
 
 The trees (squared loss on the logistic gradient with Newton leaves, histogram splits) are fitted with numpy on a bounded
 sample of labelled URLs; features are lengths, depth, digit ratio, entropy, counts of parameters and marks, and statistics
-of host suffixes (share of blocked labelled URLs under a suffix, smoothed).
+of host suffixes (share of blocked labelled URLs under a suffix, smoothed). For a URL that the trees are fitted on, a suffix's
+share is taken from the URLs of other hosts only, so that trees don't learn a host's own label from it.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from lattik.llm.common import map_batches
 #: Labelled URLs that the trees are fitted on, at most (about; chosen by a hash of the URL).
 SAMPLE = 20_000
 TREES, DEPTH, RATE, BINS = 60, 3, 0.2, 32
-#: Host suffixes whose statistics are kept, at most; labelled URLs a suffix needs.
-SUFFIXES, LEAST = 5_000, 5
+#: Labelled URLs that a suffix needs for a statistic of its own.
+LEAST = 5
 #: Probability from which a URL is blocked.
 CUT = 0.5
 
@@ -163,13 +164,20 @@ def fit(urls: Sequence[str | None], blocked: Sequence[int]) -> Model:
         return model
     seen, bad = Counter(), Counter()
     names = [(m[1].lower() if (m := _PARTS.match(u or "")) else "") for u in urls]
+    own = {name: [0, 0.0] for name in names}
     for name, label in zip(names, y):
+        own[name][0] += 1
+        own[name][1] += label
         for s in suffixes(name):
             seen[s] += 1
             bad[s] += label
-    kept = [s for s, n in seen.most_common(SUFFIXES) if n >= LEAST and s]
-    model.stats = {s: (bad[s] + 5 * share) / (seen[s] + 5) for s in kept}
-    x = np.array([features(u, model.stats, share) for u in urls])
+
+    def stat(s: str, n: int = 0, blocked: float = 0.0) -> float:
+        """The share of a suffix, without ``n`` URLs of which some are blocked."""
+        return (bad[s] - blocked + 5 * share) / (seen[s] - n + 5) if s and seen[s] - n >= LEAST else share
+
+    model.stats = {s: stat(s) for s in seen if s and seen[s] >= LEAST}
+    x = np.array([features(u, {s: stat(s, *own[name]) for s in suffixes(name)}, share) for u, name in zip(urls, names)])
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1], method="lower")) for f in range(x.shape[1])]
     edges = [e[e < x[:, f].max()] for f, e in enumerate(edges)]
     raw = np.full(len(y), model.start)
@@ -194,12 +202,12 @@ def judge(pages: DataFrame, model: Model, rules: Sequence[tuple[str, str]] = (),
     """``id_col``, ``host``, ``path``, ``rule`` (else null), ``verdict`` (allow or block), ``block_probability`` by the trees.
 
     A null URL and one without ``://`` have an empty host and path and get the trees' verdict. Repeated rows are judged
-    each; an empty table gives no rows; other columns are not read.
+    each; very long URLs are read whole; an empty table gives no rows; other columns are not read.
     """
-    shared = pages.sparkSession.sparkContext.broadcast(model)
+    shared = pages.sparkSession.sparkContext.broadcast((model.stats, model.base, model.start, model.trees))
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        fitted = shared.value
+        fitted = Model(*shared.value)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             p = fitted.probability(batch.column(1).to_pylist())
