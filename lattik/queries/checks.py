@@ -18,7 +18,7 @@ UNION ALL SELECT 'Violation', {C}, 'inSegment', 'segment not allowed', 'urn:kg:s
 UNION ALL SELECT 'Info', {C}, 'locatedIn', 'value is not of class Region', 'urn:kg:nation/' || c_nationkey FROM customer""")
 def chk09_shapes(spark: SparkSession, sf: str) -> DataFrame:
     """Targets, counts, value conditions and classes with severities (CHK09, 10, 12, 13, 14, 17)."""
-    graph = g.star_schema(spark, sf, ("customer", "nation"))
+    graph = g.star_frame(spark, sf, ("customer", "nation"))
     nations, customers = sh.targets(graph, "Nation"), sh.targets(graph, "Customer")
     segments = [f"{g.NS}segment/{x}" for x in ("BUILDING", "MACHINERY", "FURNITURE")]
     money = sh.each_value(graph, customers, "balance", F.col("value").try_cast("double") >= 0, "balance not positive", sh.WARNING)
@@ -76,7 +76,7 @@ def chk06_ill_typed(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT 'Violation' AS severity, 'urn:kg:order/' || o_orderkey AS focus, 'year' AS path, 'datatype' AS message, year(o_orderdate)::VARCHAR AS value FROM orders
 UNION ALL SELECT 'Violation', 'urn:kg:customer/' || o_custkey, 'hasOrder', 'functional', count(*)::VARCHAR FROM orders GROUP BY o_custkey HAVING count(*) > 1""")
 def chk07_asserted(spark: SparkSession, sf: str) -> DataFrame:
-    graph = g.star_schema(spark, sf, ("orders",))
+    graph = g.star_frame(spark, sf, ("orders",))
     back = g.facts(table(spark, sf, "orders"), g.fact(g.iri("customer", "o_custkey"), "hasOrder", g.iri("order", "o_orderkey")))
     return sh.asserted_ranges(graph.where("p = 'year'").unionByName(back), [("year", "gYear")], ["hasOrder"])
 

@@ -110,7 +110,7 @@ def agg19_far_apart(spark: SparkSession, sf: str) -> DataFrame:
 SELECT 'iri' AS o_kind, NULL AS lang, false AS bad FROM customer UNION ALL SELECT 'literal', 'en', c_name LIKE '% %' FROM customer UNION ALL SELECT 'iri', NULL, false FROM customer UNION ALL SELECT 'iri', NULL, c_mktsegment LIKE '% %' FROM customer UNION ALL SELECT 'literal', NULL, false FROM customer)""")
 def agg25_hygiene(spark: SparkSession, sf: str) -> DataFrame:
     """Conditional counts over a graph in one pass (AGG25, EVL05)."""
-    graph = g.star_schema(spark, sf, ("customer",))
+    graph = g.star_frame(spark, sf, ("customer",))
     return graph.agg(F.count("*").alias("triples"), F.count_if(F.col("o_kind") == "iri").alias("links"), F.count_if(F.col("o_lang") == "en").alias("english"), F.count_if(F.col("o").contains(" ")).alias("spaces"))
 
 
@@ -136,9 +136,9 @@ def scl28_best_label(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT 'triples' AS measure, '' AS item, (SELECT 4 * count(*) FROM supplier) AS n UNION ALL SELECT 'entities', '', (SELECT count(*) FROM supplier)
 UNION ALL SELECT 'class', 'Supplier', (SELECT count(*) FROM supplier) UNION ALL SELECT 'property', p, (SELECT count(*) FROM supplier) FROM (VALUES ('rdf:type'), ('rdfs:label'), ('locatedIn'), ('balance')) v(p)""")
 def snk09_statistics(spark: SparkSession, sf: str) -> DataFrame:
-    return sinks.statistics(g.star_schema(spark, sf, ("supplier",)))
+    return sinks.statistics(g.star_frame(spark, sf, ("supplier",)))
 
 
 @query("""SELECT '<urn:kg:nation/' || n_nationkey || '> <rdfs:label> "' || n_name || '"@en .' AS value FROM nation""")
 def snk05_ntriples(spark: SparkSession, sf: str) -> DataFrame:
-    return sinks.ntriples_lines(g.star_schema(spark, sf, ("nation",)).where(F.col("p") == g.LABEL))
+    return sinks.ntriples_lines(g.star_frame(spark, sf, ("nation",)).where(F.col("p") == g.LABEL))

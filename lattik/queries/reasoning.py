@@ -36,7 +36,7 @@ UNION SELECT loc.s, step.o FROM loc JOIN step ON loc.o = step.s)
 @query("""WITH RECURSIVE e AS (SELECT 'urn:kg:nation/' || n_nationkey AS s, 'urn:kg:region/' || n_regionkey AS o FROM nation UNION SELECT 'urn:kg:region/' || r_regionkey, 'urn:kg:world' FROM region),
 c AS (SELECT s, o FROM e UNION SELECT c.s, e.o FROM c JOIN e ON c.o = e.s) SELECT s, o FROM c""")
 def grf05_transitive(spark: SparkSession, sf: str) -> DataFrame:
-    return reach(g.edges(g.star_schema(spark, sf, ("nation", "region")), "partOf"))
+    return reach(g.edges(g.star_frame(spark, sf, ("nation", "region")), "partOf"))
 
 
 @query("""WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS s, o_custkey % 97 AS o FROM orders WHERE o_custkey < 400), c AS (SELECT s, o FROM e UNION SELECT c.s, e.o FROM c JOIN e ON c.o = e.s)
@@ -49,7 +49,7 @@ def grf16_star_path_with_cycles(spark: SparkSession, sf: str) -> DataFrame:
 @query(EDGES + "SELECT s, o FROM loc")
 def grf06_chain_closure(spark: SparkSession, sf: str) -> DataFrame:
     onto = reason.Ontology(transitive=["partOf"], chain=ONTO.chain)
-    return g.match(reason.materialize(g.star_schema(spark, sf, KINDS), onto), "?s", "locatedIn", "?o")
+    return g.match(reason.materialize(g.star_frame(spark, sf, KINDS), onto), "?s", "locatedIn", "?o")
 
 
 @query(EDGES + """, former AS (SELECT s FROM merged), moved AS (SELECT DISTINCT loc.s FROM loc JOIN former ON loc.o = former.s),
@@ -59,7 +59,7 @@ UNION ALL SELECT s, 'Moved' FROM moved UNION ALL SELECT s, 'Former' FROM former
 UNION ALL SELECT 'urn:kg:nation/' || n_nationkey, unnest(['Nation', 'Place']) FROM nation UNION ALL SELECT 'urn:kg:region/' || r_regionkey, unnest(['Region', 'Place']) FROM region)""")
 def grf01_types(spark: SparkSession, sf: str) -> DataFrame:
     """All types after materialization: hierarchy, domain, range, defined classes (GRF01, 03, 07, 08, 13)."""
-    return g.match(reason.materialize(g.star_schema(spark, sf, KINDS), ONTO), "?s", g.TYPE, "?o")
+    return g.match(reason.materialize(g.star_frame(spark, sf, KINDS), ONTO), "?s", g.TYPE, "?o")
 
 
 @query(EDGES + """, former AS (SELECT s FROM merged), moved AS (SELECT DISTINCT loc.s FROM loc JOIN former ON loc.o = former.s)
@@ -67,7 +67,7 @@ SELECT s, 'inSegment' AS p, 'urn:kg:segment/MOVED' AS o FROM moved UNION SELECT
 UNION SELECT o, 'mergedFrom', s FROM merged""")
 def grf04_derived_edges(spark: SparkSession, sf: str) -> DataFrame:
     """Inverses of derived edges and implied values that the base doesn't have (GRF04, GRF09, GRF14)."""
-    base = g.star_schema(spark, sf, KINDS)
+    base = g.star_frame(spark, sf, KINDS)
     new = reason.inferred(reason.materialize(base, ONTO), base, N)
     return new.where(F.col("p").isin("hasPart", "mergedFrom") | ((F.col("p") == "inSegment") & F.col("o").endswith("MOVED"))).select("s", "p", "o")
 
@@ -76,13 +76,13 @@ def grf04_derived_edges(spark: SparkSession, sf: str) -> DataFrame:
 UNION ALL SELECT 'relatedTo', 'r' || r_regionkey FROM region UNION ALL SELECT 'locatedIn', 'c' || c_custkey FROM customer UNION ALL SELECT 'partOf', 'n' || n_nationkey FROM nation UNION ALL SELECT 'partOf', 'r' || r_regionkey FROM region) GROUP BY 1""")
 def grf02_subproperties(spark: SparkSession, sf: str) -> DataFrame:
     onto = reason.Ontology(subproperty=ONTO.subproperty)
-    return reason.materialize(g.star_schema(spark, sf, KINDS), onto).where(F.col("p").isin("relatedTo", "locatedIn", "partOf")).groupBy("p").agg(F.count("*").alias("n"))
+    return reason.materialize(g.star_frame(spark, sf, KINDS), onto).where(F.col("p").isin("relatedTo", "locatedIn", "partOf")).groupBy("p").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT 'disjoint' AS kind, 'urn:kg:customer/' || c_custkey AS s, 'Builder' AS a, 'Moved' AS b FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey >= 20 AND c_nationkey % 2 = 1""")
 def chk01_inconsistencies(spark: SparkSession, sf: str) -> DataFrame:
     """Disjoint classes, functional literals, differing values (CHK01-05, GRF12)."""
-    return reason.inconsistencies(reason.materialize(g.star_schema(spark, sf, KINDS), ONTO), ONTO)
+    return reason.inconsistencies(reason.materialize(g.star_frame(spark, sf, KINDS), ONTO), ONTO)
 
 
 @query("SELECT min(o_orderkey) AS a, max(o_orderkey) AS b, o_custkey AS s FROM orders WHERE o_custkey % 50 = 7 GROUP BY o_custkey HAVING count(DISTINCT o_orderkey) > 1")
@@ -96,7 +96,7 @@ def grf10_functional(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""WITH t AS (SELECT 'urn:kg:customer/' || c_custkey AS s, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Builder' ELSE 'Customer' END AS o FROM customer) SELECT * FROM t""")
 def win09_most_specific_type(spark: SparkSession, sf: str) -> DataFrame:
-    graph = g.star_schema(spark, sf, ("customer",))
+    graph = g.star_frame(spark, sf, ("customer",))
     onto = reason.Ontology(subclass=ONTO.subclass, has_value=ONTO.has_value)
     types = g.match(reason.materialize(graph, onto), "?s", g.TYPE, "?o").where(F.col("s").startswith(f"{N}customer/"))
     above = reason.axioms(spark, reason.closed(ONTO.subclass), "sub o")
