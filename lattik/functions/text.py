@@ -44,14 +44,14 @@ def norm_url(text: Column) -> Column:
     return F.when(first.contains("."), F.when(first.rlike("^[a-z]+://"), first).otherwise(F.concat(F.lit("http://"), first)))
 
 
-def years_in(text: Column, last: int = 2026) -> Column:
-    """Four-digit years from 1800 to ``last``, in order of place, not inside longer numbers."""
-    found = F.regexp_extract_all(text, F.lit(r"(?<!\d)(1[89]\d\d|20\d\d)(?!\d)"), F.lit(1))
-    return F.filter(F.transform(found, lambda x: x.cast("int")), lambda y: y.between(1800, last))
+def years_in(text: Column, last: int | None = None) -> Column:
+    """Four-digit years from 1800 to ``last`` (the current year, unless given), in order of place, not inside longer numbers."""
+    runs = F.filter(F.regexp_extract_all(text, F.lit(r"[0-9]+"), F.lit(0)), lambda x: F.length(x) == 4)
+    return F.filter(F.transform(runs, lambda x: x.cast("int")), lambda y: y.between(F.lit(1800), F.year(F.current_date()) if last is None else F.lit(last)))
 
 
-def earliest_year(text: Column) -> Column:
-    return F.array_min(years_in(text))
+def earliest_year(text: Column, last: int | None = None) -> Column:
+    return F.array_min(years_in(text, last))
 
 
 def sentences(text: Column) -> Column:
@@ -89,7 +89,7 @@ def in_box(lat: Column, lon: Column, box: tuple[float, float, float, float]) ->
 
 
 def email(text: Column) -> Column:
-    return F.nullif(F.lower(F.regexp_extract(text, r"([A-Za-z0-9._+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)", 1)), F.lit(""))
+    return F.nullif(F.lower(F.regexp_extract(text, r"([A-Za-z0-9._+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]++)++)", 1)), F.lit(""))
 
 
 def phone(text: Column) -> Column:

@@ -14,13 +14,27 @@ MOST_ROUNDS = 64
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a local folder only where it is unset (tests)."""
-    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if known:
-        return known.rstrip("/")
-    if getattr(shared_dir, "local", None) is None:
-        shared_dir.local = "file://" + tempfile.mkdtemp(prefix="lattik-rounds-")
-    return shared_dir.local
+    """This application's folder in ``spark.checkpoint.dir``; deleted when the driver's JVM ends.
+
+    Where the setting is missing, a local session (as in tests) gets a temporary folder; on a cluster that is an error.
+    """
+    context = spark.sparkContext
+    known = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not known:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        known = "file://" + tempfile.gettempdir()
+    folder = f"{known.rstrip('/')}/lattik-rounds-{context.applicationId}"
+    if folder not in _FOLDERS:
+        where = context._jvm.org.apache.hadoop.fs.Path(folder)
+        files = where.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+        _FOLDERS.add(folder)
+    return folder
+
+
+_FOLDERS: set[str] = set()
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ def token_pairs(a: DataFrame, b: DataFrame, key: str, label: str, least: float)
     """Jaccard join by an inverted index: ``a, b, score`` for pairs of at least ``least`` (over 0), without comparing all.
 
     Only a set's rarest tokens are indexed: two sets of that similarity share one among the first |A| - ceil(least * |A|) + 1
-    in the order of rarity, so frequent tokens are looked up for sets that have nothing rarer.
+    in the order of rarity, so frequent tokens are looked up for sets that have nothing rarer. Sizes, and the places behind the
+    token, must leave room for the overlap that such a pair needs.
     """
     sets = {side: df.select(F.col(key).alias(side), t.tokens(F.col(label)).alias("w")).where(F.size("w") > 0) for side, df in (("a", a), ("b", b))}
     spread = {side: s.select(side, "w", F.explode("w").alias("token")) for side, s in sets.items()}
@@ -22,10 +23,15 @@ def token_pairs(a: DataFrame, b: DataFrame, key: str, label: str, least: float)
     index = {}
     for side, rows in spread.items():
         ranked = rows.join(df, "token").groupBy(side).agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"), F.first("w").alias(f"w{side}"))
+        ranked = ranked.withColumn(f"n{side}", F.size("t"))
         keep = F.size("t") - F.ceil(F.size("t") * least).cast("int") + 1
-        index[side] = ranked.select(side, f"w{side}", F.explode(F.slice("t", 1, keep)).alias("x")).select(side, f"w{side}", F.col("x.token").alias("token"))
-    pairs = index["a"].join(index["b"], "token").dropDuplicates(["a", "b"])
-    return pairs.select("a", "b", t.jaccard(F.col("wa"), F.col("wb")).alias("score")).where(F.col("score") >= least)
+        placed = ranked.select(side, f"w{side}", f"n{side}", F.posexplode(F.slice("t", 1, keep)).alias(f"i{side}", "x"))
+        index[side] = placed.select(side, f"w{side}", f"n{side}", f"i{side}", F.col("x.token").alias("token"))
+    near = index["a"].join(index["b"], "token").where(
+        (F.least("na", "nb") >= least * F.greatest("na", "nb")) & (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) * (1 + least) >= least * (F.col("na") + F.col("nb")))
+    )
+    # a pair is scored at each token that it meets at, before anything is shuffled; only pairs that pass are made distinct
+    return near.select("a", "b", t.jaccard(F.col("wa"), F.col("wb")).alias("score")).where(F.col("score") >= least).distinct()
 
 
 def best_match(pairs: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattik.operators.closure import cut, fixpoint, reach
+from lattik.operators.closure import cut, fixpoint
+from lattik.operators.components import components
 from lattik.plans.graph import SCHEMA, TERM, TYPE, dedup
 
 KEY = ["s", "p", *TERM]
@@ -140,12 +141,11 @@ def inferred(closure: DataFrame, base: DataFrame, local: str, trivial: tuple[str
 
 
 def same_as(graph: DataFrame, onto: Ontology) -> DataFrame:
-    """Values that a functional property makes equal: pairs ``a`` < ``b``, closed symmetrically by reach."""
+    """Values that a functional property makes equal: ``node`` and ``label``, the smallest value of its equality class."""
     values = graph.where(F.col("p").isin(*onto.functional) & (F.col("o_kind") == "iri")).select("s", "p", "o").distinct()
     low = values.groupBy("s", "p").agg(F.min("o").alias("a"), F.count("*").alias("n")).where("n > 1")
     links = values.join(low, ["s", "p"]).where("o > a").select("a", F.col("o").alias("b"))
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return reach(both, "a", "b").where("a < b")
+    return components(links)
 
 
 def inconsistencies(closure: DataFrame, onto: Ontology) -> DataFrame:
@@ -159,7 +159,9 @@ def inconsistencies(closure: DataFrame, onto: Ontology) -> DataFrame:
         literals = closure.where(F.col("p").isin(*onto.functional) & (F.col("o_kind") == "literal")).groupBy("s", "p").agg(F.min("o").alias("a"), F.max("o").alias("b")).where("a < b")
         out = out.unionByName(literals.select(F.lit("functional").alias("kind"), "s", "a", "b"))
         if onto.different:
-            equal = same_as(closure, onto).join(axioms(spark, [tuple(sorted(p)) for p in onto.different], "a b"), ["a", "b"])
+            merged = same_as(closure, onto)
+            differ = axioms(spark, [tuple(sorted(p)) for p in onto.different], "a b")
+            equal = differ.join(merged.withColumnRenamed("node", "a"), "a").join(merged.withColumnRenamed("node", "b"), ["b", "label"])
             out = out.unionByName(equal.select(F.lit("different").alias("kind"), F.col("a").alias("s"), "a", "b"))
     nothing = types.where("o = 'owl:Nothing'").select(F.lit("nothing").alias("kind"), "s", F.col("o").alias("a"), F.col("o").alias("b"))
     return out.unionByName(nothing)

@@ -10,33 +10,33 @@ from lattik.operators import link
 from lattik.queries import query, table
 
 TOK = "list_distinct(list_filter(regexp_split_to_array(trim(regexp_replace(lower({0}), '[^a-z0-9]+', '-', 'g'), '-'), '-'), lambda x: x <> ''))"
-PAIRS = f"""WITH x AS (SELECT p_partkey AS a, {TOK.format("p_name || ' ' || p_type || ' ' || p_brand")} AS wa FROM part WHERE p_partkey % 10 = 1),
-y AS (SELECT p_partkey AS b, {TOK.format("p_name || ' ' || p_type || ' ' || p_brand")} AS wb FROM part WHERE p_partkey % 10 = 2),
-s AS (SELECT a, b, len(list_intersect(wa, wb)) / len(list_distinct(list_concat(wa, wb)))::DOUBLE AS score FROM x, y)"""
+PAIRS = f"""WITH x AS (SELECT p_partkey AS a, {TOK.format("p_name || ' ' || p_type || ' ' || p_brand")} AS wa FROM part WHERE p_partkey % 20 = 0),
+y AS (SELECT p_partkey AS b, {TOK.format("p_name || ' ' || p_type || ' ' || p_brand")} AS wb FROM part),
+s AS (SELECT a, b, len(list_intersect(wa, wb)) / len(list_distinct(list_concat(wa, wb)))::DOUBLE AS score FROM x, y WHERE a <> b)"""
 
 
 def pairs(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("label"))
-    return link.token_pairs(rows.where("p_partkey % 10 = 1"), rows.where("p_partkey % 10 = 2"), "p_partkey", "label", 0.3)
+    return link.token_pairs(rows.where("p_partkey % 20 = 0"), rows, "p_partkey", "label", 0.8).where("a <> b")
 
 
-@query(PAIRS + "SELECT a, b, score FROM s WHERE score >= 0.3")
+@query(PAIRS + "SELECT a, b, score FROM s WHERE score >= 0.8")
 def jon17_similarity_join(spark: SparkSession, sf: str) -> DataFrame:
     return pairs(spark, sf)
 
 
-@query(PAIRS + "SELECT a, max_by(b, struct_pack(s := score, b := b)) AS b, max(score) AS score FROM s WHERE score >= 0.3 GROUP BY a")
+@query(PAIRS + "SELECT a, max_by(b, struct_pack(s := score, b := b)) AS b, max(score) AS score FROM s WHERE score >= 0.8 GROUP BY a")
 def win05_best_match(spark: SparkSession, sf: str) -> DataFrame:
     return link.best_match(pairs(spark, sf))
 
 
-@query(PAIRS + """, m AS (SELECT a, max_by(b, struct_pack(s := score, b := b)) AS b, max(score) AS score FROM s WHERE score >= 0.3 GROUP BY a), c AS (SELECT *, (a + b) % 4 <> 1 AS correct FROM m),
-n AS (SELECT theta::DOUBLE AS theta, count(score) AS predicted, count(*) FILTER (WHERE correct) AS tp FROM (VALUES (0.3), (0.4), (0.5), (0.6), (0.8)) t(theta) LEFT JOIN c ON score >= theta::DOUBLE GROUP BY 1)
-SELECT theta, predicted, tp, CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END::DOUBLE AS precision, (tp / 50::DOUBLE) AS recall,
-coalesce(2 * (CASE WHEN predicted = 0 THEN 0.0::DOUBLE ELSE tp / predicted END) * (tp / 50::DOUBLE) / nullif((CASE WHEN predicted = 0 THEN 0.0::DOUBLE ELSE tp / predicted END) + tp / 50::DOUBLE, 0), 0.0::DOUBLE) AS f1 FROM n""")
+@query(PAIRS + """, m AS (SELECT a, max_by(b, struct_pack(s := score, b := b)) AS b, max(score) AS score FROM s WHERE score >= 0.8 GROUP BY a), c AS (SELECT *, (a + b) % 4 <> 1 AS correct FROM m),
+n AS (SELECT theta::DOUBLE AS theta, count(score) AS predicted, count(*) FILTER (WHERE correct) AS tp FROM (VALUES (0.8), (0.85), (0.9), (0.95), (1.0)) t(theta) LEFT JOIN c ON score >= theta::DOUBLE GROUP BY 1)
+SELECT theta, predicted, tp, CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END::DOUBLE AS precision, (tp / (SELECT count(*) FROM x)::DOUBLE) AS recall,
+coalesce(2 * (CASE WHEN predicted = 0 THEN 0.0::DOUBLE ELSE tp / predicted END) * (tp / (SELECT count(*) FROM x)::DOUBLE) / nullif((CASE WHEN predicted = 0 THEN 0.0::DOUBLE ELSE tp / predicted END) + tp / (SELECT count(*) FROM x)::DOUBLE, 0), 0.0::DOUBLE) AS f1 FROM n""")
 def agg22_sweep(spark: SparkSession, sf: str) -> DataFrame:
     best = link.best_match(pairs(spark, sf)).withColumn("correct", (F.col("a") + F.col("b")) % 4 != 1)
-    return link.sweep(best, 50, (0.3, 0.4, 0.5, 0.6, 0.8))
+    return link.sweep(best, table(spark, sf, "part").where("p_partkey % 20 = 0").count(), (0.8, 0.85, 0.9, 0.95, 1.0))
 
 
 @query("""WITH s AS (SELECT source, count(*) AS n, sum(quality)::BIGINT AS good FROM labels JOIN documents USING (doc_id) GROUP BY 1)

@@ -12,11 +12,12 @@ from lattik.queries import query, table
 from lattik.sources import records, sinks
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey % 200 AS a, l_partkey % 200 AS b FROM lineitem WHERE l_orderkey < 600), c AS (SELECT 1::BIGINT AS node, 0 AS depth UNION SELECT e.b, depth + 1 FROM c JOIN e ON e.a = c.node WHERE depth < 3)
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS a, l_partkey % (SELECT count(*) FROM supplier) AS b FROM lineitem), c AS (SELECT 1::BIGINT AS node, 0 AS depth UNION SELECT e.b, depth + 1 FROM c JOIN e ON e.a = c.node WHERE depth < 3)
 SELECT node, min(depth)::INTEGER AS depth FROM c GROUP BY 1""")
 def src08_bounded_crawl(spark: SparkSession, sf: str) -> DataFrame:
     """Breadth-first walk with a visited set and a greatest depth."""
-    e = table(spark, sf, "lineitem").where("l_orderkey < 600").select((F.col("l_orderkey") % 200).alias("node"), (F.col("l_partkey") % 200).alias("b")).distinct()
+    n = table(spark, sf, "supplier").count()
+    e = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("node"), (F.col("l_partkey") % n).alias("b")).distinct()
     seen = spark.range(1, 2).select(F.col("id").alias("node"), F.lit(0).alias("depth"))
     front = seen
     for depth in range(1, 4):
@@ -83,10 +84,10 @@ def jon08_semi(spark: SparkSession, sf: str) -> DataFrame:
     return kept.join(o, "c_custkey", "left").groupBy(F.col("c_custkey").alias("k")).agg(F.count("o_orderkey").alias("n"))
 
 
-@query("SELECT p_partkey, max(len(list_intersect(string_split(lower(p_name), ' '), string_split(lower(s_name), ' '))))::INTEGER AS best FROM part, supplier WHERE p_partkey <= 20 GROUP BY 1")
+@query("SELECT p_partkey, max(len(list_intersect(string_split(lower(p_name), ' '), string_split(lower(s_name), ' '))))::INTEGER AS best FROM part, supplier GROUP BY 1")
 def jon18_best_score(spark: SparkSession, sf: str) -> DataFrame:
-    """Greatest score of labels against labels; the asked side is a small fixed set."""
-    a = table(spark, sf, "part").where("p_partkey <= 20").select("p_partkey", F.split(F.lower("p_name"), " ").alias("x"))
+    """Greatest score of labels against labels, over the words that they share."""
+    a = table(spark, sf, "part").select("p_partkey", F.split(F.lower("p_name"), " ").alias("x"))
     b = table(spark, sf, "supplier").select(F.explode(F.array_distinct(F.split(F.lower("s_name"), " "))).alias("w"), "s_suppkey")
     hits = a.select("p_partkey", F.explode(F.array_distinct("x")).alias("w")).join(b, "w").groupBy("p_partkey", "s_suppkey").agg(F.count("*").alias("n"))
     best = hits.groupBy("p_partkey").agg(F.max("n").cast("int").alias("best"))

@@ -5,19 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: One line of N-Triples: subject, predicate, then an IRI, a blank node, or a literal with datatype or language.
-LINE = r'^\s*(?:<([^>]*)>|(_:\S+))\s+<([^>]*)>\s+(?:<([^>]*)>|(_:\S+)|"((?:[^"\\]|\\.)*)"(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?)\s*\.\s*(?:#.*)?$'
+#: One line of N-Triples: subject, predicate, then an IRI, a blank node, or a literal with datatype or language. Loops are
+#: possessive: Java's matcher would recurse on long literals otherwise.
+LINE = r'^\s*(?:<([^>]*+)>|(_:\S++))\s+<([^>]*+)>\s+(?:<([^>]*+)>|(_:\S++)|"((?:[^"\\]++|\\.)*+)"(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?)\s*\.\s*(?:#.*)?$'
 
 
 def _unescape(text: Column) -> Column:
     out = F.replace(text, F.lit("\\\\"), F.lit("\x00"))
     for mark, char in (("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ('\\"', '"')):
         out = F.replace(out, F.lit(mark), F.lit(char))
-    return F.replace(out, F.lit("\x00"), F.lit("\\"))
+    parts = F.transform(F.split(out, r"(?=\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8})"), _code_point)
+    return F.replace(F.array_join(parts, ""), F.lit("\x00"), F.lit("\\"))
+
+
+def _code_point(part: Column) -> Column:
+    """A part whose leading numeric escape, if any, is its character."""
+
+    def char(digits: int) -> Column:
+        hexed = F.lpad(F.substring(part, 3, digits), 8, "0")
+        return F.concat(F.decode(F.unhex(hexed), "UTF-32"), F.substring(part, 3 + digits, 1 << 30))
+
+    return F.when(part.rlike(r"^\\u[0-9A-Fa-f]{4}"), char(4)).when(part.rlike(r"^\\U[0-9A-Fa-f]{8}"), char(8)).otherwise(part)
 
 
 def ntriples(spark: SparkSession, path: str) -> DataFrame:
-    """The graph in N-Triples files, read line by line by any number of tasks; other lines are left out."""
+    """The graph in N-Triples files, read line by line by any number of tasks; lines that are none are in ``ntriples_rejects``."""
     rows = spark.read.text(path).where(F.col("value").rlike(LINE))
     part = lambda k: F.nullif(F.regexp_extract("value", LINE, k), F.lit(""))
     literal = F.regexp_extract("value", LINE, 6)
@@ -28,6 +40,11 @@ def ntriples(spark: SparkSession, path: str) -> DataFrame:
     ).dropDuplicates()
 
 
+def ntriples_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that are neither triples nor blank nor comments, for a gate to refuse."""
+    return spark.read.text(path).where(~F.col("value").rlike(LINE) & ~F.col("value").rlike(r"^\s*(#|$)"))
+
+
 def curated_csv(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV of strings: trimmed, null as empty."""
     rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
