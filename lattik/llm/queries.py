@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lattik.llm import bpe, decontam, html_text, langid, minhash, quality, sharding, toxicity, urlfilter, warc
-from lattik.llm.common import materialize
+from lattik.llm.common import materialize, shared_dir
 
 #: The vocabulary file; its path is a parameter of the operators.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,25 +65,30 @@ def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-#: In the second replica, pages whose id key has this remainder have their first character overwritten.
-ROT = (97, 5)
+#: In the replica, pages whose key has this remainder have their first character overwritten, or are lost.
+ROT = (97, 5, 6)
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replica is written as WARC files and read back, with records overwritten and lost, and is audited against the pages."""
     pages = table(spark, sf_dir, "pages")
-    files = warc.files_for(pages)
-    rotten = F.when(warc.id_key("page_id") % ROT[0] == ROT[1], F.concat(F.lit("?"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
-    first, second = (materialize(warc.layout(x, files)) for x in (pages, pages.withColumn("html", rotten)))
-    return warc.audit(first, second).select(F.col("id").alias("page_id"), "file", "seq", "offset", "length", "sha256", "status")
+    files, rest = warc.files_for(pages), warc.key_of(warc.name_of("page_id", "url")) % ROT[0]
+    rotten = F.when(rest == ROT[1], F.concat(F.lit("?"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(pages.where(rest != ROT[2]).withColumn("html", rotten), path, files)
+    replica = materialize(warc.read(spark, path, payload=False))
+    first = materialize(warc.layout(pages, files))
+    return warc.audit(first, replica).select(F.col("id").alias("page_id"), "file", "seq", "offset", "length", "sha256", "status")
 
 
 OP9_SQL = f"""
 WITH p AS (
     SELECT page_id, coalesce(html, '') AS body, regexp_replace(coalesce(url, ''), '[\\r\\n]', '', 'g') AS u,
-           ('0x' || substr(md5(coalesce(page_id::VARCHAR, '')), 1, 15))::BIGINT AS k FROM pages),
+           md5(coalesce(page_id::VARCHAR, '') || chr(10) || regexp_replace(coalesce(url, ''), '[\\r\\n]', '', 'g')) AS n FROM pages),
+q AS (SELECT *, ('0x' || substr(n, 1, 15))::BIGINT AS k FROM p),
 r AS (
-    SELECT page_id, k, md5(coalesce(page_id::VARCHAR, '') || chr(10) || u) AS n, u, body, chr(13) || chr(10) AS e,
-           (k % (SELECT greatest(1, (count(*) + {warc.FILE_RECORDS} - 1) // {warc.FILE_RECORDS}) FROM pages))::INTEGER AS file FROM p),
+    SELECT page_id, k, n, u, body, chr(13) || chr(10) AS e,
+           floor(k::DOUBLE / {float(1 << 60)!r}::DOUBLE * (SELECT greatest(1, (count(*) + {warc.FILE_RECORDS} - 1) // {warc.FILE_RECORDS}) FROM pages))::INTEGER AS file FROM q),
 w AS (
     SELECT page_id, k, file, 'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Record-ID: <urn:uuid:' || substr(n, 1, 8) || '-' || substr(n, 9, 4)
            || '-' || substr(n, 13, 4) || '-' || substr(n, 17, 4) || '-' || substr(n, 21, 12) || '>' || e || 'WARC-Date: {warc.DATE}' || e
@@ -90,8 +96,8 @@ w AS (
            || 'Content-Length: ' || strlen(body)::VARCHAR || e || e || body || e || e AS rec FROM r),
 s AS (SELECT page_id, k, file, strlen(rec)::BIGINT AS length, sha256(rec) AS sha256 FROM w)
 SELECT page_id, file, (row_number() OVER o - 1)::BIGINT AS seq, (sum(length) OVER o - length)::BIGINT AS "offset", length, sha256,
-       CASE WHEN k % {ROT[0]} = {ROT[1]} THEN 'corrupt' ELSE 'ok' END AS status
-FROM s WINDOW o AS (PARTITION BY file ORDER BY page_id NULLS FIRST, sha256 ROWS UNBOUNDED PRECEDING)
+       CASE k % {ROT[0]} WHEN {ROT[1]} THEN 'corrupt' WHEN {ROT[2]} THEN 'missing' ELSE 'ok' END AS status
+FROM s WINDOW o AS (PARTITION BY file ORDER BY k, sha256 ROWS UNBOUNDED PRECEDING)
 """
 
 

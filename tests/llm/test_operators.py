@@ -304,13 +304,19 @@ def test_warc_round_trip_and_audit(spark, tmp_path):
     pages = spark.read.parquet(f"{SF}/pages.parquet").unionByName(spark.createDataFrame([(None, None, None), (1, "http://x/\r\n", "")], "page_id long, url string, html string"))
     first = warc.write(pages, f"file://{tmp_path}/w")
     read = warc.read(spark, f"file://{tmp_path}/w").cache()
-    key = ["file", "seq", "offset", "length", "sha256"]
+    key = ["name", "key", "file", "seq", "offset", "length", "sha256"]
     assert sorted(map(tuple, first.select(*key).collect())) == sorted(map(tuple, read.select(*key).collect()))
-    assert warc.root(warc.tree(first)) == warc.root(warc.tree(read))
-    bad = read.withColumn("sha256", F.when(F.col("seq").isin(3, 20), F.lit("0")).otherwise(F.col("sha256"))).where("seq <> 7")
-    got = {(r["file"], r["seq"], r["status"]) for r in warc.audit(first, bad).where("status <> 'ok'").collect()}
-    assert got == {(0, 3, "corrupt"), (0, 20, "corrupt"), (0, 7, "missing")}
+    assert warc.root(warc.tree(first, 2)) == warc.root(warc.tree(read, 2)) and warc.compare(first, read).isEmpty()
+    ids = sorted(r["name"] for r in read.select("name").distinct().collect())
+    lost, bad, new = ids[3], ids[10], ids[-1]
+    other = pages.where(~(warc.name_of("page_id", "url") == lost)).withColumn("html", F.when(warc.name_of("page_id", "url") == bad, F.concat(F.lit("x"), F.coalesce("html", F.lit("")))).otherwise(F.col("html")))
+    warc.write(other, f"file://{tmp_path}/v", 1)
+    found = warc.compare(first.where(F.col("name") != new), warc.read(spark, f"file://{tmp_path}/v")).collect()
+    assert sorted((r["name"], r["status"]) for r in found) == sorted([(lost, "missing"), (bad, "corrupt"), (new, "extra")])
+    got = {r["name"]: r["status"] for r in warc.audit(first, warc.read(spark, f"file://{tmp_path}/v")).collect()}
+    assert {k: v for k, v in got.items() if v != "ok"} == {lost: "missing", bad: "corrupt"} and len(got) == len(ids)
     assert warc.audit(first.limit(0), first.limit(0)).collect() == []
+    assert {r["status"] for r in warc.audit(first, first.limit(0)).collect()} == {"missing"}
 
 
 def test_url_rules_and_trees(spark):
