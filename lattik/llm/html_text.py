@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 import unicodedata
+from collections import Counter
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -22,7 +24,7 @@ from lattik.llm.common import map_batches
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is text up to their end tag.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head title script style template noscript iframe noembed noframes object svg math canvas audio video datalist select".split())
+HIDDEN = frozenset("head title script style template noscript iframe noembed noframes object canvas audio video datalist desc defs metadata annotation annotation-xml".split())
 #: Blocks with a blank line around them, and blocks that only start a line.
 PARAGRAPHS = frozenset("p blockquote pre h1 h2 h3 h4 h5 h6 ul ol dl table figure hr article section".split())
 BLOCKS = PARAGRAPHS | frozenset("address aside body center dd details dialog div dt fieldset figcaption footer form header hgroup html legend li main menu nav summary".split())
@@ -37,42 +39,46 @@ CLOSES = {
 }
 #: Elements that an end tag doesn't close across.
 SCOPES = frozenset("table td th caption html body".split())
-#: Depth of the tree; deeper elements are siblings.
-DEEPEST = 160
+#: Elements of which one that only holds another, both without attributes, is the same as the inner one alone.
+NESTED = frozenset("div span b i font em strong u small big".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
-_INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 
 
 class Node:
-    __slots__ = ("name", "attrs", "kids")
+    __slots__ = ("name", "attrs", "kids", "again")
 
     def __init__(self, name: str, attrs: dict[str, str] | None = None):
-        self.name, self.attrs, self.kids = name, attrs or {}, []
+        self.name, self.attrs, self.kids, self.again = name, attrs or {}, [], 0
 
 
 def parse(page: str) -> Node:
     """The tree; texts are strings among the children."""
     root = Node("#root")
     stack = [root]
+    opened: Counter = Counter()  # names on the stack, so that none is looked for in vain
+
+    def cut(k: int) -> None:
+        opened.subtract(n.name for n in stack[k:])
+        del stack[k:]
 
     def close(names: tuple[str, ...], behind: tuple[str, ...]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].name in behind:
-                return
+        k = len(stack) - 1
+        while k > 0 and any(opened[n] > 0 for n in names) and stack[k].name not in behind:
             if stack[k].name in names:
-                del stack[k:]
-                close(names, behind)
-                return
+                cut(k)
+            k -= 1
 
     def add(text: str) -> None:
         if stack[-1].name == "head" and text.strip():
-            stack.pop()
+            cut(len(stack) - 1)
         stack[-1].kids.append(text)
 
-    at = 0
+    at = deepest = 0
     while at < len(page):
         m = _TAG.search(page, at)
         if not m:
@@ -87,16 +93,20 @@ def parse(page: str) -> Node:
             continue
         name = m[3].lower()
         if stack[-1].name == "head" and (name == "br" if m[2] else name not in HEAD):
-            stack.pop()
+            cut(len(stack) - 1)
         if m[2]:
             if name == "br":
                 stack[-1].kids.append(Node("br"))
-            elif name == "p" and not any(n.name == "p" for n in stack):
+            elif name == "p" and not opened["p"]:
                 stack[-1].kids.append(Node("p"))
-            else:
+            elif name == stack[-1].name and stack[-1].again:
+                stack[-1].again -= 1
+                if name in BLOCKS:
+                    stack[-1].kids.append(Node("div"))  # what follows begins a line
+            elif opened[name] > 0:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k].name == name:
-                        del stack[k:]
+                        cut(k)
                         break
                     if stack[k].name in SCOPES and name not in ("table", "tr", "thead", "tbody", "tfoot", "html", "body"):
                         break
@@ -105,6 +115,10 @@ def parse(page: str) -> Node:
             close(("p",), ("table", "td", "th", "li", "button"))
         if name in CLOSES:
             close(*CLOSES[name])
+        top = stack[-1]
+        if name in NESTED and name == top.name and not top.kids and not top.attrs and not (m[4] or "").strip():
+            top.again += 1
+            continue
         node = Node(name, {a.lower(): html.unescape(x or y or z or "") for a, x, y, z in _ATTR.findall(m[4] or "")} if m[4] else {})
         stack[-1].kids.append(node)
         if name in RAW:
@@ -112,8 +126,12 @@ def parse(page: str) -> Node:
             text = page[at : end.start() if end else len(page)]
             node.kids.append(html.unescape(text) if name in ("title", "textarea") else text)
             at = end.end() if end else len(page)
-        elif name not in VOID and not (m[4] or "").rstrip().endswith("/") and len(stack) < DEEPEST:
+        elif name not in VOID and not (m[4] or "").rstrip().endswith("/"):
             stack.append(node)
+            opened[name] += 1
+            deepest = max(deepest, len(stack))
+    if deepest * 4 + 1000 > sys.getrecursionlimit():  # rendering takes frames on the heap, up to three for each level
+        sys.setrecursionlimit(deepest * 4 + 1000)
     return root
 
 
@@ -121,10 +139,31 @@ def visible(node: Node) -> bool:
     a = node.attrs
     return not (
         node.name in HIDDEN or "hidden" in a or (node.name == "input" and a.get("type", "").lower() == "hidden")
-        or ("style" in a and _INVISIBLE.search(a["style"]) is not None) or (node.name == "dialog" and "open" not in a)
+        or ("style" in a and _NO_DISPLAY.search(a["style"]) is not None) or (node.name == "dialog" and "open" not in a)
     )
 
 
+def shows(node: Node, inherited: bool) -> bool:
+    """Whether an element's own text is visible: its ``visibility``, else its parent's."""
+    m = _VISIBILITY.search(node.attrs["style"]) if "style" in node.attrs else None
+    return m[1].lower() == "visible" if m else inherited
+
+
+def chosen(node: Node) -> list[Node]:
+    """The options of a list that are seen: all of an open list, else the selected or first one."""
+    found, todo = [], list(reversed(node.kids))
+    while todo:
+        kid = todo.pop()
+        if isinstance(kid, Node) and visible(kid):
+            if kid.name == "option":
+                found.append(kid)
+            else:
+                todo += reversed(kid.kids)
+    if "multiple" in node.attrs or node.attrs.get("size", "1") not in ("", "0", "1"):
+        return found
+    return ([k for k in found if "selected" in k.attrs] or found)[:1]
+
+
 def width(text: str) -> int:
     """Columns that a text takes; East-Asian wide characters take two."""
     return len(text) if text.isascii() else sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
@@ -171,12 +210,15 @@ class Page:
         return "\n".join(self.lines).strip("\n")
 
 
-def render(node: Node, page: Page | None = None, pre: bool = False, lists: tuple = ()) -> str:
+def render(node: Node, page: Page | None = None, pre: bool = False, lists: tuple = (), inherited: bool = True) -> str:
     out = page or Page()
     count = 0
+    shown = shows(node, inherited)
     for kid in node.kids:
         if isinstance(kid, str):
-            if pre:
+            if not shown:
+                pass
+            elif pre:
                 for k, line in enumerate(kid.replace("\r\n", "\n").split("\n")):
                     if k:
                         out._open()
@@ -196,14 +238,19 @@ def render(node: Node, page: Page | None = None, pre: bool = False, lists: tuple
         elif name == "hr":
             out.brk(2)
         elif name == "img":
-            if kid.attrs.get("alt"):
+            if kid.attrs.get("alt") and shows(kid, shown):
                 out.text(kid.attrs["alt"])
         elif name == "input":
-            if kid.attrs.get("type", "text").lower() in ("submit", "button", "reset", "text") and kid.attrs.get("value"):
+            if kid.attrs.get("type", "text").lower() in ("submit", "button", "reset", "text") and kid.attrs.get("value") and shows(kid, shown):
                 out.text(kid.attrs["value"])
+        elif name == "select":
+            for k, option in enumerate(chosen(kid)):
+                if k:
+                    out.brk(1)
+                render(option, out, False, lists, shows(kid, shown))
         elif name == "table":
             out.brk(2)
-            for line in table(kid):
+            for line in table(kid, shows(kid, shown)):
                 out._open()
                 out.line += line
                 out.lines.append(out.line.rstrip())
@@ -214,29 +261,29 @@ def render(node: Node, page: Page | None = None, pre: bool = False, lists: tuple
             kept = out.indent
             out.brk(1)
             out.marker = f"{_start(node) + count - 1}. " if node.name == "ol" else "- "
-            render(kid, out, pre, lists)
+            render(kid, out, pre, lists, shown)
             out.brk(1)
             out.indent, out.marker = kept, ""
         elif name in ("ul", "ol", "menu"):
             out.brk(1 if lists else 2)
             if out.marker:  # a list that begins its item
                 out.indent, out.marker = out.indent + "  ", ""
-            render(kid, out, pre, (*lists, name))
+            render(kid, out, pre, (*lists, name), shown)
             out.brk(1 if lists else 2)
         elif name == "dd":
             kept = out.indent
             out.brk(1)
             out.indent += "  "
-            render(kid, out, pre, lists)
+            render(kid, out, pre, lists, shown)
             out.brk(1)
             out.indent = kept
         elif name in BLOCKS:
             gap = 2 if name in PARAGRAPHS else 1
             out.brk(gap)
-            render(kid, out, pre or name == "pre", lists)
+            render(kid, out, pre or name == "pre", lists, shown)
             out.brk(gap)
         else:
-            render(kid, out, pre or name == "textarea", lists)
+            render(kid, out, pre or name == "textarea", lists, shown)
     return out.end() if page is None else ""
 
 
@@ -247,12 +294,23 @@ def _start(node: Node) -> int:
         return 1
 
 
-def table(node: Node) -> list[str]:
-    """Lines of a table, cells aligned by column; a cell's lines stand below each other."""
+def table(node: Node, shown: bool = True) -> list[str]:
+    """Lines of a table, cells aligned by column; a cell's lines stand below each other, and a cell over several rows or columns leaves theirs empty."""
     captions, rows = [], []
-
-    def collect(at: Node) -> None:
+    below: dict[int, int] = {}  # rows that a cell above still takes, by column
+
+    def put(cells: list, lines: list[str], wide: int = 1, deep: int = 1) -> None:
+        while below.get(len(cells), 0) > 0:
+            below[len(cells)] -= 1
+            cells.append([""])
+        for k in range(wide):
+            if deep > 1:
+                below[len(cells)] = deep - 1
+            cells.append([""] if k else lines)
+
+    def collect(at: Node, inherited: bool) -> None:
         loose: list = []
+        shown = shows(at, inherited)
         for kid in at.kids:
             if isinstance(kid, str):
                 if kid.strip():
@@ -260,29 +318,33 @@ def table(node: Node) -> list[str]:
             elif not visible(kid):
                 continue
             elif kid.name == "tr":
-                cells = []
+                cells: list = []
+                own = shows(kid, shown)
                 for c in kid.kids:
                     if isinstance(c, Node) and c.name in ("td", "th"):
                         if visible(c):
-                            cells.append(render(c).split("\n"))
-                            cells += [[""]] * (_span(c) - 1)
+                            put(cells, render(c, inherited=own).split("\n"), _span(c, "colspan", 1000), _span(c, "rowspan", 65534))
                     elif isinstance(c, Node) and visible(c) or isinstance(c, str) and c.strip():
                         box = Node("td")
                         box.kids = [c]
-                        cells.append(render(box).split("\n"))
+                        put(cells, render(box, inherited=own).split("\n"))
+                for k in range(len(cells), 1 + max((k for k, n in below.items() if n > 0), default=-1)):
+                    below[k] = max(0, below.get(k, 0) - 1)
+                    cells.append([""])
                 rows.append(cells)
             elif kid.name in ("thead", "tbody", "tfoot"):
-                collect(kid)
+                collect(kid, shown)
+                below.clear()
             elif kid.name in ("td", "th"):
-                rows.append([render(kid).split("\n")])
+                rows.append([render(kid, inherited=shown).split("\n")])
             else:
                 loose.append(kid)
         if loose:
             box = Node("caption")
             box.kids = loose
-            captions.append(render(box))
+            captions.append(render(box, inherited=shown))
 
-    collect(node)
+    collect(node, shown)
     rows = [r for r in rows if any(line.strip() for cell in r for line in cell)]
     widths: list[int] = []
     for r in rows:
@@ -299,9 +361,11 @@ def table(node: Node) -> list[str]:
     return lines
 
 
-def _span(cell: Node) -> int:
-    n = cell.attrs.get("colspan", "1")
-    return min(1000, max(1, int(n))) if n.isascii() and n.isdigit() else 1
+def _span(cell: Node, name: str, most: int) -> int:
+    """Columns or rows of a cell; the standard's bounds, and its 0 for all rows that are left."""
+    n = cell.attrs.get(name, "1")
+    n = min(most, int(n)) if n.isascii() and n.isdigit() else 1
+    return n or (most if name == "rowspan" else 1)
 
 
 def extract_text(page: str | None) -> str:
@@ -319,7 +383,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
     """``id_col``, ``title``, ``text``, ``n_chars``, ``n_lines`` for each whole page.
 
     A null or empty page has an empty text and no title; broken markup is read as far as it goes; repeated rows are
-    rendered each; an empty table gives no rows; other columns are not read.
+    rendered each; very long and very deep pages are read whole; an empty table gives no rows; other columns are not read.
     """
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:

@@ -292,6 +292,18 @@ def test_html_layout(spark):
     assert ("deep" in got[5][2]) or ("deep" in got[4][2])
 
 
+def test_html_spans_visibility_and_depth():
+    text = html_text.extract_text
+    assert text("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>") == "a | b\n  | c\nd | e"
+    assert text("<table><tr><td>x<td rowspan=2 colspan=2>yy<tr><td>z<tr><td>1<td>2<td>3</table>") == "x | yy |\nz |    |\n1 | 2  | 3"
+    assert text("<div style='visibility:hidden'>no <span style='visibility: visible'>yes</span> no</div>") == "yes"
+    assert text("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> <svg><title>t</title><text>label</text></svg>") == "x=1 label"
+    assert text("<select><option>a<option selected>b<option>c</select>") == "b" and text("<select multiple><option>a<option>b</select>") == "a\nb"
+    assert text("<div><div>a</div>b</div>c") == "a\nb\nc" and text("<b><b>a</b>b</b>c") == "abc"
+    assert text("<div>" * 200_000 + "x" + "<p hidden>no</p>" + "</div>" * 200_000 + "y") == "x\ny"
+    assert text("<i><u>" * 3_000 + "x<s hidden>no</s>" + "</u></i>" * 3_000 + "y") == "xy"
+
+
 def test_html_head_without_end_tag():
     text = html_text.extract_text
     assert text("<html><head><title>T</title><body><p>Hello") == "Hello"
