@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -20,6 +22,8 @@ cloudpickle.register_pickle_by_value(_package)
 
 #: Rows of a key-only side (16 bytes a row or less) up to which it is broadcast; larger sides are shuffled.
 BROADCAST_KEYS = 1_000_000
+#: Rows in an Arrow batch, at most: a batch of texts is held by the JVM and by Python at once, in and out.
+BATCH_ROWS = 1_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -78,17 +82,39 @@ def anti_join_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` whose per-batch function is made once for each task by ``make``."""
+    """``mapInArrow`` whose per-batch function is made once for each task by ``make``.
+
+    Workers are reused by later stages, so a task gives its memory back to the system when it ends. The session's Arrow
+    batches are held to ``BATCH_ROWS`` rows from here on, as Spark reads that setting when the plan runs.
+    """
+    rows, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(rows)) <= BATCH_ROWS:
+        conf.set(rows, str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
-        for batch in batches:
-            for part in by_bytes(batch):
-                yield f(part)
+        batch = part = None
+        try:
+            for batch in batches:
+                for part in by_bytes(batch):
+                    yield f(part)
+        finally:
+            f = batch = part = None
+            give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system, as far as the platform's allocator can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # another C library
+        pass
+
+
 def by_bytes(batch: pa.RecordBatch, most: int = 4_000_000) -> Iterable[pa.RecordBatch]:
     """Slices of a batch, each of about ``most`` bytes or of one row, so that a few long texts don't add up."""
     n, size = batch.num_rows, max(1, batch.nbytes)
