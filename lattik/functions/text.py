@@ -175,3 +175,39 @@ def person(text: Column, honorifics: tuple[str, ...] = ("dr", "prof", "mr", "mrs
     name = F.trim(F.regexp_replace(F.regexp_replace(F.trim(text), head, ""), r"\s*[,(].*$", ""))
     title = F.nullif(F.trim(F.regexp_extract(F.trim(text), head, 1)), F.lit(""))
     return F.when(name.rlike(r"^\p{Lu}[\p{L}'.-]*(?:\s+\p{Lu}[\p{L}'.-]*){1,5}$"), F.struct(name.alias("name"), title.alias("honorific")))
+
+
+#: Words at which a name goes on in the next line (fixed values).
+JOINING = ("of", "and", "for", "in", "the", "&", "on", "at")
+
+
+def english_name(text: Column) -> Column:
+    """The first of the parts between bars, joined by the next ones while it ends in a joining word and they begin in upper case."""
+    parts = F.transform(F.split(F.coalesce(text, F.lit("")), r"\s*\|\s*"), lambda x: F.trim(x))
+    open_end = "(?i)(" + "|".join(JOINING) + ")$"
+    start = F.struct(F.element_at(parts, 1).alias("name"), F.lit(False).alias("done"))
+    go_on = lambda a, x: ~a["done"] & a["name"].rlike(open_end) & x.rlike(r"^\p{Lu}")
+    step = lambda a, x: F.when(go_on(a, x), F.struct(F.concat_ws(" ", a["name"], x).alias("name"), F.lit(False).alias("done"))).otherwise(F.struct(a["name"].alias("name"), F.lit(True).alias("done")))
+    joined = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), start, step)["name"]
+    return F.btrim(F.regexp_replace(joined, r"\s*\([^)]*\)$", ""), F.lit(" .,-"))
+
+
+def keyword_class(text: Column, rules: list[tuple[str, str]], first: int = 2) -> Column:
+    """The first rule (pattern, class) that the first sentences match; null if none does."""
+    return first_rule(F.array_join(F.slice(sentences(text), 1, first), " "), rules)
+
+
+def aliased(fields: Column, names: dict[str, str]) -> Column:
+    """A map with keys under their other names too, where the map doesn't have those itself; of two, the first key in order counts."""
+    extra = F.filter(F.map_entries(fields), lambda e: e["key"].isin(*names) & e["value"].isNotNull())
+    table = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
+    renamed = F.transform(F.array_sort(extra), lambda e: F.struct(table[e["key"]].alias("key"), e["value"].alias("value")))
+    new = F.filter(renamed, lambda e: ~F.array_contains(F.map_keys(fields), e["key"]))
+    once = F.filter(F.transform(new, lambda e, i: F.when(F.array_position(F.transform(new, lambda x: x["key"]), e["key"]) == i + 1, e)), lambda e: e.isNotNull())
+    return F.map_concat(fields, F.map_from_entries(once))
+
+
+def first_known(candidates: Column, known: Column, taken: Column | None = None) -> Column:
+    """The first candidate among the known ones that isn't taken already; null if there is none."""
+    ok = F.filter(candidates, lambda c: F.array_contains(known, c) & (F.lit(True) if taken is None else ~c.eqNullSafe(taken)))
+    return F.get(ok, 0)

@@ -78,3 +78,11 @@ def _new(rows: DataFrame, known: DataFrame, key: list[str]) -> DataFrame:
         same = F.col(k).eqNullSafe(F.col(f"_{k}"))
         on = same if on is None else on & same
     return rows.dropDuplicates(key).join(old, on, "left_anti")
+
+
+def list_members(triples: DataFrame) -> DataFrame:
+    """``list, member``: what lists that are given as ``rdf:first`` and ``rdf:rest`` triples hold, by each of their cells as head."""
+    first = triples.where("p = 'rdf:first'").select(F.col("s").alias("cell"), F.col("o").alias("member"))
+    rest = triples.where("p = 'rdf:rest' AND o <> 'rdf:nil'").select("s", "o")
+    steps = reach(rest).select(F.col("s").alias("list"), F.col("o").alias("cell"))
+    return steps.unionByName(first.select(F.col("cell").alias("list"), "cell")).join(first, "cell").select("list", "member").distinct()

@@ -86,3 +86,15 @@ def observation(rows: DataFrame, subject: Column, prop: str, value: Column, sinc
         F.when(ok, F.sha2(whole, 256)).otherwise(F.raise_error(F.lit("bounds in the wrong order"))).alias("id"), subject.alias("subject"), F.lit(prop).alias("property"),
         value.alias("value"), since.alias("valid_from"), through.alias("valid_through"), status.alias("status"), F.lit(source).alias("source"),
     )
+
+
+def short_names(names: Column) -> Column:
+    """Distinct and sorted: 2 to 15 characters, not all in lower case."""
+    fits = F.filter(names, lambda x: F.length(x).between(2, 15) & ~((F.lower(x) == x) & (F.upper(x) != x)))
+    return F.array_sort(F.array_distinct(fits))
+
+
+def curated_over(reported: DataFrame, curated: DataFrame, key: str) -> DataFrame:
+    """Curated rows, and those reported rows whose key has no curated one; ``basis`` tells which. Both are joined on ``key`` only."""
+    kept = reported.join(curated.select(key).distinct(), key, "left_anti").withColumn("basis", F.lit("reported"))
+    return kept.unionByName(curated.withColumn("basis", F.lit("curated")))

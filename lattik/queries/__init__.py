@@ -29,4 +29,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from lattik.queries import checks, entities, evaluation, fusion, more, named, reasoning, scalars, streams, texts  # noqa: F401
+    from lattik.queries import checks, entities, evaluation, fields, fusion, more, named, reasoning, scalars, streams, texts  # noqa: F401

@@ -80,3 +80,14 @@ def replace_graph(graph: DataFrame, path: str) -> None:
         fs.delete(old, True)
         fs.rename(now, old)
     fs.rename(staged, now)
+
+
+def fixity(df: DataFrame) -> DataFrame:
+    """``n``, ``sum``: count and order-free checksum of a table (64-bit hashes of whole rows, added up)."""
+    return df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("sum"))
+
+
+def markdown_row(*cells: Column | str) -> Column:
+    """A line of a Markdown table; bars inside cells are escaped."""
+    text = [F.replace(F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")), F.lit("|"), F.lit("\\|")) for c in cells]
+    return F.concat(F.lit("| "), F.concat_ws(" | ", *text), F.lit(" |"))

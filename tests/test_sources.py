@@ -107,3 +107,17 @@ def test_stream_equals_batch(spark, tmp_path):
     streamed = {tuple(r) for r in spark.read.parquet(f"file://{tmp_path}/out").collect()}
     batch = {tuple(r) for r in windows.over_limit(windows.tumbling(events, "1 hour", "0 seconds"), 0).collect()}
     assert streamed <= batch and len(streamed) >= len(batch) - 30  # windows after the last watermark stay open
+
+
+def test_field_rules(spark):
+    row = spark.range(1).select(
+        t.english_name(F.lit("Univ. of | Technology and | Education (UTE)")).alias("a"), t.english_name(F.lit("One | Two")).alias("b"),
+        t.english_name(F.lit("School of | arts")).alias("c"), t.english_name(F.lit(None).cast("string")).alias("d"),
+        t.keyword_class(F.lit("It lies here. It is private. Public money."), [("private", "p"), ("Public", "q")]).alias("e"),
+        t.keyword_class(F.lit("One. Two. private"), [("private", "p")]).alias("f"),
+        t.aliased(F.create_map(*map(F.lit, ("founded", "1990", "established", "1980", "type", "x", "sort", "own"))), {"founded": "since", "established": "since", "type": "sort"}).alias("g"),
+        t.first_known(F.array(*map(F.lit, "abc")), F.array(*map(F.lit, "bc")), F.lit("b")).alias("h"),
+    ).first()
+    assert (row["a"], row["b"], row["c"], row["d"]) == ("Univ. of Technology and Education", "One", "School of", "")
+    assert (row["e"], row["f"], row["h"]) == ("p", None, "c")
+    assert row["g"] == {"founded": "1990", "established": "1980", "type": "x", "sort": "own", "since": "1980"}
