@@ -26,3 +26,15 @@ def test_best_match_makes_no_pairs_of_copies(spark):
     got = {r["a"]: r["b"] for r in link.best_match(df, df, "k", "label", 0.8).collect()}
     assert got == {k: 199 if k < 199 else 198 for k in range(200)}
     assert {(r["ca"], r["cb"]) for r in link.set_pairs(link.token_sets(df, "k", "label", "a"), link.token_sets(df, "k", "label", "b"), 0.8).collect()} == {("red-ring", "red-ring")}
+
+
+def test_registered_joins_equal_sql_with_nulls(spark, tmp_path):
+    con = duckdb.connect()
+    con.execute(f"""COPY (SELECT p_partkey, CASE WHEN p_partkey % 7 <> 1 THEN p_name END AS p_name, CASE WHEN p_partkey % 11 <> 1 THEN p_type END AS p_type, p_brand
+        FROM (SELECT p_partkey + i * 200 AS p_partkey, p_name, p_type, p_brand FROM '/root/testdata/sf0.001/part.parquet', range(3) r(i))) TO '{tmp_path}/part.parquet'""")
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet'")
+    engine.load()
+    for name in ("jon17_similarity_join", "win05_best_match", "agg22_sweep"):
+        df = engine.QUERIES[name](spark, str(tmp_path))
+        want = con.sql(f"SELECT {', '.join(df.columns)} FROM ({engine.SQL[name]})").fetchall()
+        assert sorted(tuple(r) for r in df.collect()) == sorted(want) and want
