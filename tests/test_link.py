@@ -20,6 +20,23 @@ def brute(a, b, least):
     return out
 
 
+def test_joins_equal_brute_force(spark):
+    rnd = random.Random(5)
+    rows = [(k, " ".join(rnd.sample("abcdefghijkl", rnd.randint(1, 10)))) for k in range(150)]
+    rows += [(1000 + k, rows[k % 40][1]) for k in range(120)] + [(7, "a b c"), (7, "a b c"), (8, None), (9, ""), (2010, " - "), (11, "A a b C")]
+    df = spark.createDataFrame(rows, "k long, label string").repartition(3)
+    left = df.where("k % 3 = 0")
+    for least in (0.5, 0.7, 0.8, 1.0):
+        want = brute([r for r in rows if r[0] % 3 == 0], [r if r[1] != " - " else (r[0], "") for r in rows], least)
+        got = [tuple(r) for r in link.token_pairs(left, df, "k", "label", least).collect()]
+        assert sorted(got) == sorted(want)
+        best = {}
+        for a, b, s in want:
+            if a != b:
+                best[a] = max(best.get(a, (0, -1)), (s, b))
+        assert {r["a"]: (r["score"], r["b"]) for r in link.best_match(left, df, "k", "label", least).collect()} == best
+
+
 def test_best_match_makes_no_pairs_of_copies(spark):
     """200 copies of one text: two rows of a set at most leave the heads, never 200 x 200."""
     df = spark.range(200).select(F.col("id").alias("k"), F.lit("red ring").alias("label"))
