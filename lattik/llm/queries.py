@@ -75,7 +75,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     files, rest = warc.files_for(pages), warc.key_of(warc.name_of("page_id", "url")) % ROT[0]
     rotten = F.when(rest == ROT[1], F.concat(F.lit("?"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
-    warc.write(pages.where(rest != ROT[2]).withColumn("html", rotten), path, files)
+    warc.write(pages.where(rest != ROT[2]).withColumn("html", rotten), path, files, gzip=True)
     replica = materialize(warc.read(spark, path, payload=False))
     first = materialize(warc.layout(pages, files))
     return warc.audit(first, replica).select(F.col("id").alias("page_id"), "file", "seq", "offset", "length", "sha256", "status")

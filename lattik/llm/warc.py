@@ -11,6 +11,7 @@ one and no other record is reported.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -74,27 +75,30 @@ def layout(pages: DataFrame, files: int, id_col: str = "page_id", url_col: str =
     return rows.withColumn("seq", (F.row_number().over(by) - 1).cast("bigint")).withColumn("offset", before)
 
 
-def write(pages: DataFrame, path: str, files: int | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Write ``path/file=N/`` WARC files natively (a record's closing line ends are the writer's separator); returns the layout."""
+def write(pages: DataFrame, path: str, files: int | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", gzip: bool = False) -> DataFrame:
+    """Write ``path/file=N/`` WARC files natively (a record's closing line ends are the writer's separator); returns the layout.
+
+    With ``gzip`` each file is one gzip stream; offsets and lengths are those of the unpacked file.
+    """
     files = files or files_for(pages)
     rec = record(id_col, url_col, html_col)
     rows = pages.select(key_of(name_of(id_col, url_col)).alias("key"), F.sha2(rec, 256).alias("sha"), rec.alias("rec")).withColumn("file", file_of(F.col("key"), files))
     rows = rows.repartition("file").sortWithinPartitions("file", "key", "sha")
-    rows.select("file", F.expr(f"left(rec, char_length(rec) - {len(END)})").alias("value")).write.partitionBy("file").option("lineSep", END).text(path)
+    rows.select("file", F.expr(f"left(rec, char_length(rec) - {len(END)})").alias("value")).write.partitionBy("file").option("lineSep", END).option("compression", "gzip" if gzip else "none").text(path)
     return layout(pages, files, id_col, url_col, html_col)
 
 
 def read(spark, path: str, payload: bool = True) -> DataFrame:
     """Records of WARC files: ``name``, ``key``, ``file``, ``seq``, ``offset``, ``length``, ``sha256``, ``uri`` and, if asked for, ``payload``.
 
-    A file is read by one task. Bytes that don't parse as a record are one last record of the file, with an empty name and null
+    A file, plain or of gzip streams, is read by one task. Bytes that don't parse as a record are one last record of the file, with an empty name and null
     ``uri`` and ``payload``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                out = [(name, int(name[:15] or "0", 16), file, n, at, len(raw), hashlib.sha256(raw).hexdigest(), uri, *[body] * payload) for n, (at, raw, name, uri, body) in enumerate(split(data))]
+                out = [(name, int(name[:15] or "0", 16), file, n, at, len(raw), hashlib.sha256(raw).hexdigest(), uri, *[body] * payload) for n, (at, raw, name, uri, body) in enumerate(split(unpacked(data)))]
                 for i in range(0, len(out), 256):
                     yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in out[i : i + 256]], schema)
 
@@ -105,6 +109,21 @@ def read(spark, path: str, payload: bool = True) -> DataFrame:
     return named.mapInArrow(run, "name string, key bigint, file int, seq bigint, offset bigint, length bigint, sha256 string, uri string" + ", payload binary" * payload)
 
 
+def unpacked(data: bytes, step: int = 1 << 16) -> bytes:
+    """The bytes of gzip streams, as far as they can be unpacked; what can't be follows as it is, as do bytes without gzip's mark."""
+    out = []
+    while data.startswith(b"\x1f\x8b"):
+        stream, at = zlib.decompressobj(31), 0
+        try:
+            while at < len(data) and not stream.eof:
+                out.append(stream.decompress(data[at : at + step]))
+                at += step
+        except zlib.error:
+            return b"".join([*out, data[at:]])
+        data = stream.unused_data + data[at:]
+    return b"".join([*out, data])
+
+
 def split(data: bytes) -> Iterator[tuple[int, bytes, str, str | None, bytes | None]]:
     """Offset, bytes, record id's digits, target and payload of each record."""
     at, end = 0, END.encode()
