@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lattik.llm.common import map_batches, materialize
+from lattik.llm.common import give_back, map_batches, materialize
 
 #: Labelled rows, and UTF-8 bytes of their texts, that the model is learned from, at most (chosen by a hash of the id).
 SAMPLE, SAMPLE_BYTES = 4_000, 8_000_000
@@ -134,18 +134,23 @@ def train(docs: DataFrame, sample: int = SAMPLE, most_bytes: int = SAMPLE_BYTES,
         return F.transform(F.when(F.length(whole) >= n, cut).otherwise(F.array().cast("array<string>")), lambda g: F.concat(F.lit(f"{n}:"), g))
 
     seen = counted.where("word IS NOT NULL").select("lang", "k", F.explode(F.concat(F.array(F.concat(F.lit("0:"), "word")), *(grams(n) for n in LENGTHS))).alias("gram"))
-    found = seen.groupBy("lang", F.xxhash64("gram").alias("key"), F.substring("gram", 1, 1).cast("int").alias("n")).agg(F.sum("k").alias("k")).toPandas()  # bounded by ``most_bytes``
-    keys, row = np.unique(found["key"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
-    column = np.searchsorted(languages, found["lang"].to_numpy(str))
+    place = (F.array_position(F.array(*(F.lit(lang) for lang in languages)), F.col("lang")) - 1).cast("int").alias("at")
+    found = seen.groupBy("lang", F.xxhash64("gram").alias("key"), F.substring("gram", 1, 1).cast("int").alias("n")).agg(F.sum("k").alias("k"))
+    # bounded by ``most_bytes``; as columns of numbers, since rows of objects took the driver a multiple of the model's memory
+    found = found.select(place, "key", "n", "k").toArrow()
+    keys, row = np.unique(found["key"].to_numpy().view(np.uint64), return_inverse=True)
     counts = np.zeros((len(keys), len(languages)))
-    counts[row, column] = found["k"].to_numpy()
-    length = np.zeros(len(keys), int)
+    counts[row, found["at"].to_numpy()] = found["k"].to_numpy()
+    length = np.zeros(len(keys), np.int8)
     length[row] = found["n"].to_numpy()
+    del found, row
     table = np.empty(counts.shape, np.float32)
     for n in (0, *LENGTHS):
         of = length == n
         size, distinct = counts[of].sum(axis=0), (counts[of] > 0).sum(axis=0)
         table[of] = np.log((counts[of] + SMOOTH) / (size + SMOOTH * (distinct + 1)))
+    del counts, length
+    give_back()
     total = sum(documents.values())
     return Model(languages, [math.log(documents[lang] / total) for lang in languages], keys, table)
 

@@ -4,6 +4,7 @@ import gzip
 from pathlib import Path
 
 import numpy as np
+from pyspark.sql import DataFrame
 
 from lattik.llm import warc
 
@@ -30,3 +31,17 @@ def test_damaged_gzip_gives_what_can_be_unpacked():
     broken = warc.unpacked(packed[:-8] + b"\0" * 8)  # a wrong checksum
     assert broken[:200_000] == text[:200_000]
     assert warc.unpacked(b"\x1f\x8bno gzip") == b"\x1f\x8bno gzip"
+
+
+def test_language_model_comes_without_rows_of_objects(spark, monkeypatch):
+    from lattik.llm import langid
+
+    monkeypatch.setattr(DataFrame, "toPandas", lambda self: 1 / 0)
+    monkeypatch.setattr(type(spark.range(1)), "toPandas", lambda self: 1 / 0)
+    docs = spark.createDataFrame([(1, "the ring", "en"), (2, "der ring", "de"), (3, "the", "en")], "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert model.languages == ["de", "en"] and model.keys.dtype == np.uint64 and (np.diff(model.keys.astype(object)) > 0).all()
+    at = {w: model.table[np.searchsorted(model.keys, np.uint64(langid.key_of(0, w)))] for w in ("the", "der", "ring")}
+    size, s = np.array([2, 3]), langid.SMOOTH
+    for w, k in (("the", (0, 2)), ("der", (1, 0)), ("ring", (1, 1))):
+        assert np.allclose(at[w], np.log((np.array(k) + s) / (size + s * 3)), atol=1e-5)
