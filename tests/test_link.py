@@ -1,6 +1,7 @@
 """Similarity join, best matches and leaders against brute force and SQL, on copies, repeated keys and nulls."""
 
 import random
+import re
 
 import duckdb
 from pyspark.sql import functions as F
@@ -45,6 +46,30 @@ def test_best_match_makes_no_pairs_of_copies(spark):
     assert {(r["ca"], r["cb"]) for r in link.set_pairs(link.token_sets(df, "k", "label", "a"), link.token_sets(df, "k", "label", "b"), 0.8).collect()} == {("red-ring", "red-ring")}
 
 
+def broadcast_explodes(spark, after):
+    """Plans run since ``after`` that broadcast exploded rows: a Generate stands below a broadcast with no shuffle or scan between."""
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    found = []
+    for i in range(runs.size()):
+        if runs.apply(i).executionId() > after:
+            nodes = re.findall(r"\b(BroadcastExchange|Exchange|Generate|Scan \w+) +\(\d+\)\n", runs.apply(i).physicalPlanDescription().split("\n\n\n")[0])
+            found += [x for x in zip(nodes, nodes[1:]) if x == ("BroadcastExchange", "Generate")]
+    return found
+
+
+def test_similarity_join_broadcasts_no_exploded_rows(spark):
+    """Spark takes the size of exploded sets for that of the sets, and so sends them through the driver's memory."""
+    rnd = random.Random(3)
+    rows = [(k, " ".join(f"w{rnd.randint(0, 400)}" for _ in range(12))) for k in range(600)]
+    df = spark.createDataFrame(rows + [(600 + k, rows[k][1] + " more") for k in range(50)], "k long, label string")
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    last = max([-1, *(runs.apply(i).executionId() for i in range(runs.size()))])
+    got = {(r["a"], r["b"]) for r in link.token_pairs(df.where("k % 20 = 0"), df, "k", "label", 0.8).collect()}
+    assert {(k, 600 + k) for k in range(0, 50, 20)} <= got
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert not broadcast_explodes(spark, last)
+
+
 def test_registered_joins_equal_sql_with_nulls(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"""COPY (SELECT p_partkey, CASE WHEN p_partkey % 7 <> 1 THEN p_name END AS p_name, CASE WHEN p_partkey % 11 <> 1 THEN p_type END AS p_type, p_brand
