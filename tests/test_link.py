@@ -70,6 +70,16 @@ def test_similarity_join_broadcasts_no_exploded_rows(spark):
     assert not broadcast_explodes(spark, last)
 
 
+def test_sweep_counts_without_a_join(spark):
+    """Thresholds named twice count once; the matches aren't joined to them."""
+    df = spark.createDataFrame([(0.8, True), (0.9, False), (1.0, True), (1.0, None), (None, True)], "score double, correct boolean")
+    got = link.sweep(df, 4, (0.8, 0.8, 0.95, 1.5))
+    assert sorted(tuple(r)[:3] for r in got.collect()) == [(0.8, 4, 2), (0.95, 2, 1), (1.5, 0, 0)]
+    assert {r["theta"]: (r["precision"], r["recall"], r["f1"]) for r in got.collect()} == {0.8: (0.5, 0.5, 0.5), 0.95: (0.5, 0.25, 1 / 3), 1.5: (0.0, 0.0, 0.0)}
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r)[:3] for r in link.sweep(df.where("score > 2"), 4, (0.8,)).collect()] == [(0.8, 0, 0)]
+
+
 def test_registered_joins_equal_sql_with_nulls(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"""COPY (SELECT p_partkey, CASE WHEN p_partkey % 7 <> 1 THEN p_name END AS p_name, CASE WHEN p_partkey % 11 <> 1 THEN p_type END AS p_type, p_brand
